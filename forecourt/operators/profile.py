@@ -40,7 +40,7 @@ def price_profile(
 ) -> DataFrame:
     """``keys`` plus ``STATS`` for every group with at least ``min_count`` rows.
 
-    Neither ``keys`` nor ``value`` may be NULL (Gold input guarantees it). ``width`` trades the
+    Rows with a NULL key or value belong to no group (Gold input has none). ``width`` trades the
     number of buckets per group against the values per bucket and does not change
     the result. Without ``keys`` the whole frame is one group, and an empty frame
     gives no row.

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import sinks, sources, spec, streaming
-from forecourt.operators import accepted, checks, classify, enforce, quarantine
+from forecourt.operators import checks, classify, enforce
 from forecourt.operators.clean import gold_valid, staging
+from forecourt.operators.validate import REASON
 from forecourt.plans import gold
 from forecourt.plans.silver import silver
 from forecourt.spec import CSV_LAYOUT, WIRE_LAYOUT, Layout
@@ -37,11 +38,10 @@ class Lake:
 
     @property
     def messages(self) -> str:
-        return f"{self.root}/messages/{spec.TOPIC}"
+        return f"{self.root}/messages"
 
-    @property
-    def rejected(self) -> str:
-        return f"{self.root}/quarantine/listings"
+    def topic(self, name: str) -> str:
+        return f"{self.messages}/topic={name}"
 
     @property
     def silver(self) -> str:
@@ -62,30 +62,29 @@ class Report:
 def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake) -> int:
     raw = sources.read_raw_csv(spark, csv_path)
     stamped = raw.withColumn(spec.INGESTED, F.current_timestamp())
-    return sinks.counted(stamped, lambda df: sinks.overwrite_bronze(df, lake.batch_bronze))
+    return sinks.overwrite_bronze(stamped, lake.batch_bronze)
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> int:
     bronze = sources.read_layer(spark, lake.batch_bronze)
-    rows = sinks.counted(silver(bronze), lambda df: sinks.overwrite_silver(df, lake.silver))
+    rows = sinks.overwrite_silver(silver(bronze), lake.silver)
     sources.register_location(spark, lake.silver_table, lake.silver)
     spark.catalog.refreshTable(lake.silver_table)
     return rows
 
 
 def produce(spark: SparkSession, csv_path: str, lake: Lake) -> dict[str, int]:
-    """Publish accepted rows, keep rejected ones."""
-    judged = classify(sources.read_raw_csv(spark, csv_path))
-    return {
-        "produced": sinks.publish_files(accepted(judged), lake.messages),
-        "failed": sinks.counted(
-            quarantine(judged), lambda df: df.write.mode("append").parquet(lake.rejected)
-        ),
-    }
+    """Publish accepted and rejected rows in one pass and count both."""
+    return sinks.observed(
+        classify(sources.read_raw_csv(spark, csv_path)),
+        lambda judged: sinks.send_files(sinks.routed_messages(judged), lake.messages),
+        produced=F.count_if(F.col(REASON).isNull()),
+        failed=F.count_if(F.col(REASON).isNotNull()),
+    )
 
 
 def stream_bronze(spark: SparkSession, lake: Lake, timeout: int = 3600) -> None:
-    messages = streaming.read_message_files(spark, lake.messages)
+    messages = streaming.read_message_files(spark, lake.topic(spec.TOPIC))
     streaming.drain_to_bronze(
         messages, lake.stream_bronze, lake.bronze_checkpoint, timeout=timeout
     )
@@ -94,10 +93,7 @@ def stream_bronze(spark: SparkSession, lake: Lake, timeout: int = 3600) -> None:
 def upsert_silver(spark: SparkSession, lake: Lake) -> int:
     """Clean all of stream Bronze and merge it into Silver; counts the merged rows."""
     bronze = streaming.usable(sources.read_layer(spark, lake.stream_bronze))
-    return sinks.counted(
-        silver(bronze, WIRE_LAYOUT),
-        lambda df: sinks.upsert_table(df, lake.silver_table, lake.silver),
-    )
+    return sinks.upsert_table(silver(bronze, WIRE_LAYOUT), lake.silver_table, lake.silver)
 
 
 def build_gold(silver_rows: DataFrame, lake: Lake, layout: Layout = CSV_LAYOUT) -> dict[str, int]:

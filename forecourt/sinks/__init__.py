@@ -1,6 +1,11 @@
-from forecourt.sinks.counting import counted
+from forecourt.sinks.counting import counted, observed
 from forecourt.sinks.files import append_bronze, overwrite_bronze, overwrite_silver
-from forecourt.sinks.messages import keyed_messages, publish_files, publish_kafka
+from forecourt.sinks.messages import (
+    keyed_messages,
+    routed_messages,
+    send_files,
+    send_kafka,
+)
 from forecourt.sinks.tables import DuplicateKeys, publish_view, save_table, upsert_table
 
 __all__ = [
@@ -8,11 +13,13 @@ __all__ = [
     "append_bronze",
     "counted",
     "keyed_messages",
+    "observed",
     "overwrite_bronze",
     "overwrite_silver",
-    "publish_files",
-    "publish_kafka",
     "publish_view",
+    "routed_messages",
     "save_table",
+    "send_files",
+    "send_kafka",
     "upsert_table",
 ]

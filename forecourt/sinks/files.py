@@ -1,14 +1,15 @@
-"""Bronze and Silver directories (K1, K2, K4)."""
+"""Bronze and Silver directories (K1, K2, K4). Each write returns its row count."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.sinks.counting import counted
 from forecourt.sources.files import existing_schema
 
 
-def overwrite_bronze(df: DataFrame, path: str) -> None:
+def overwrite_bronze(df: DataFrame, path: str) -> int:
     """Replace the content; columns the location already had stay, as NULL (K1).
 
     A column that would change its type is refused, as it would make older copies
@@ -23,13 +24,17 @@ def overwrite_bronze(df: DataFrame, path: str) -> None:
                 f"column {field.name}: {field.dataType.simpleString()} is stored, "
                 f"{df.schema[field.name].dataType.simpleString()} was given"
             )
-    df.write.mode("overwrite").parquet(path)
+    return _overwrite(df, path)
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
+def append_bronze(df: DataFrame, path: str) -> int:
     """Add rows, possibly with new columns; read back with ``merge_schema`` (K2)."""
-    df.write.mode("append").parquet(path)
+    return counted(df, lambda rows: rows.write.mode("append").parquet(path))
 
 
-def overwrite_silver(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def overwrite_silver(df: DataFrame, path: str) -> int:
+    return _overwrite(df, path)
+
+
+def _overwrite(df: DataFrame, path: str) -> int:
+    return counted(df, lambda rows: rows.write.mode("overwrite").parquet(path))

@@ -1,4 +1,4 @@
-"""Publishing accepted listings as keyed JSON messages (K6, P20)."""
+"""Publishing listings as keyed JSON messages (K6, P20)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from forecourt import spec
 from forecourt.functions import wire_json
-from forecourt.sinks.counting import counted
+from forecourt.operators.validate import REASON
 
 
 def keyed_messages(listings: DataFrame) -> DataFrame:
@@ -15,18 +15,34 @@ def keyed_messages(listings: DataFrame) -> DataFrame:
     return listings.select(F.col("id").cast("string").alias("key"), wire_json().alias("value"))
 
 
-def publish_kafka(
-    listings: DataFrame, servers: str, topic: str = spec.TOPIC, **options: str
-) -> int:
-    """Send to a topic from the executors; needs the Kafka connector on the classpath."""
-    kafka = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", **options}
-    return counted(
-        keyed_messages(listings), lambda df: df.write.format("kafka").options(**kafka).save()
+def routed_messages(judged: DataFrame) -> DataFrame:
+    """Accepted rows for the listings topic, rejected ones (with reason) for their own.
+
+    Both leave in one write, so the raw input is read and parsed once.
+    """
+    ok = F.col(REASON).isNull()
+    with_reason = F.to_json(
+        F.struct(*spec.WIRE.fieldNames(), REASON), {"ignoreNullFields": "false"}
+    )
+    return judged.select(
+        F.when(ok, F.lit(spec.TOPIC)).otherwise(F.lit(spec.REJECTED_TOPIC)).alias("topic"),
+        F.col("id").alias("key"),
+        F.when(ok, wire_json()).otherwise(with_reason).alias("value"),
     )
 
 
-def publish_files(listings: DataFrame, path: str) -> int:
-    """Append one JSON record per line, the file stand-in for the topic."""
-    return counted(
-        keyed_messages(listings), lambda df: df.select("value").write.mode("append").text(path)
-    )
+def send_kafka(messages: DataFrame, servers: str, **options: str) -> None:
+    """Send from the executors; needs the Kafka connector on the classpath.
+
+    Messages without a ``topic`` column need the ``topic`` option.
+    """
+    kafka = {"kafka.bootstrap.servers": servers, "kafka.acks": "all", **options}
+    messages.write.format("kafka").options(**kafka).save()
+
+
+def send_files(messages: DataFrame, path: str) -> None:
+    """Append one JSON record per line, one directory per topic: the stand-in for a broker."""
+    if "topic" in messages.columns:
+        messages.select("topic", "value").write.partitionBy("topic").mode("append").text(path)
+    else:
+        messages.select("value").write.mode("append").text(path)

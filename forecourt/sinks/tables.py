@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.operators.upsert import duplicate_keys, unmatched
+from forecourt.sinks.counting import counted
 from forecourt.sources.catalog import register_location, table_exists
 
 
@@ -30,8 +31,8 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
 
 def upsert_table(
     source: DataFrame, table: str, root: str, key: str = "id", fmt: str = "parquet"
-) -> None:
-    """Merge ``source`` into ``table``, creating it on the first load.
+) -> int:
+    """Merge ``source`` into ``table``, creating it on the first load; counts its rows.
 
     With ``fmt="delta"`` the connector's MERGE does the work in place. Parquet has
     no MERGE, so a new snapshot directory is filled under ``root`` and the table is
@@ -44,22 +45,22 @@ def upsert_table(
     """
     spark = source.sparkSession
     if fmt == "delta":
-        _merge_delta(source, table, root, key)
-        return
+        return counted(source, lambda rows: _merge_delta(rows, table, root, key))
 
     snapshot = f"{root.rstrip('/')}/snapshot-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    source.write.parquet(snapshot)
+    merged = counted(source, lambda rows: rows.write.parquet(snapshot))
     written = spark.read.schema(source.schema).parquet(snapshot)
     if not duplicate_keys(written, key).isEmpty():
         raise DuplicateKeys(f"{key} is not unique in the rows to merge into {table}")
 
     if not table_exists(spark, table):
         register_location(spark, table, snapshot)
-        return
+        return merged
     unmatched(spark.table(table), written, key).write.mode("append").parquet(snapshot)
     _add_new_columns(spark, table, written)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{snapshot}'")
     spark.catalog.refreshTable(table)
+    return merged
 
 
 def _add_new_columns(spark: SparkSession, table: str, written: DataFrame) -> None:

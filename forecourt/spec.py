@@ -85,3 +85,4 @@ STATES = [
 # --- stream ----------------------------------------------------------------
 
 TOPIC = "car_listings_raw"
+REJECTED_TOPIC = "car_listings_rejected"
