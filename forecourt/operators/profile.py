@@ -5,18 +5,21 @@ one in-memory map on one reducer. Where one make, or the whole table, owns most
 of the rows that map does not fit, and an approximate percentile gives another
 answer. ``price_profile`` finds the same median by counting:
 
-1. *cells*: rows are folded to ``(keys, value) -> n`` with map-side combine, so a
-   hot make, or a hot price within it, leaves each map task as single rows. Cells
-   are laid out by ``(keys, bucket)``, a bucket being a value range of fixed width.
-2. *histogram*: cells are folded per bucket and a window over the buckets of a
-   group tells which bucket holds the middle ranks. A group has at most
-   ``(max - min) / width`` buckets, about 200,000 for Gold input, whatever its size.
-3. *select*: only cells of the middle bucket are ranked to read off the one or two
+1. *cells*: rows are folded to ``(place, value) -> n`` with map-side combine, so a
+   hot make, or a hot price within it, leaves each map task as single rows. A place
+   is a group and a value range of fixed width; cells are laid out by place.
+2. *histogram*: cells are folded per place, and a window over the places of a group
+   tells which of them holds the middle ranks. A group has at most
+   ``(max - min) / width`` places, about 200,000 for Gold input, whatever its size.
+3. *select*: only cells of the middle place are ranked to read off the one or two
    middle values.
 
-Count, mean, deviation, minimum and maximum come out of the same histogram, so
-the input is read once. The cells feed steps 2 and 3 from one shuffle (Spark
-reuses the exchange). Nothing is broadcast by hand and nothing is collected.
+Count, mean, deviation, minimum and maximum come out of the same histogram.
+Steps 2 and 3 both start from the cells. A place is one struct, which is never
+NULL, so the optimizer has nothing to add to one side of the final join only, the
+two sides stay alike and Spark runs the shuffle of the cells once (a plan test
+guards this). It also makes NULL an ordinary key. Nothing is broadcast by hand
+and nothing is collected.
 """
 
 from __future__ import annotations
@@ -40,99 +43,87 @@ def price_profile(
 ) -> DataFrame:
     """``keys`` plus ``STATS`` for every group with at least ``min_count`` rows.
 
-    Rows with a NULL key or value belong to no group (Gold input has none). ``width`` trades the
-    number of buckets per group against the values per bucket and does not change
-    the result. Without ``keys`` the whole frame is one group, and an empty frame
-    gives no row.
+    Rows whose ``value`` is NULL are left out, as aggregates do (Gold input has
+    none). ``width`` trades the places per group against the values per place and
+    does not change the result. Without ``keys`` the whole frame is one group, and
+    an empty frame gives no row.
     """
-    group = list(keys) or ["_whole"]
-    cells = _cells(df if keys else df.withColumn("_whole", F.lit(0)), group, value, width)
-    ranked = _middle_buckets(_histogram(cells, group, value, width), group, min_count)
-    stats = _select_median(cells, ranked, group, value)
-    return stats.select(*keys, *STATS)
-
-
-def _cells(df: DataFrame, group: list[str], value: str, width: float) -> DataFrame:
-    placed = df.select(*group, value, F.floor(F.col(value) / width).alias("bucket"))
-    # Spelled out, because Spark would infer it for the ranking join only and then
-    # no longer see that histogram and ranking can share one shuffle.
-    placed = placed.dropna(subset=[*group, "bucket"])
-    counted = placed.groupBy(*group, "bucket", value).agg(F.count(F.lit(1)).alias("n"))
-    # Explicit, so that histogram and ranking both find cells already in place.
-    return counted.repartition(*group, "bucket")
-
-
-def _histogram(cells: DataFrame, group: list[str], value: str, width: float) -> DataFrame:
-    # Moments are taken from the bucket's lower edge: small numbers, no cancellation.
-    edge = F.col("bucket") * F.lit(width)
+    cells = _cells(df, keys, value, width)
+    middle = _middle_places(_histogram(cells, value, width), keys, min_count)
+    return _select_median(cells, middle, keys, value).select(*keys, *STATS)
+
+
+def _cells(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    bucket = F.floor(F.col(value) / width).alias("bucket")
+    place = F.struct(*keys, bucket).alias("place")
+    placed = df.filter(F.col(value).isNotNull()).select(place, value)
+    counted = placed.groupBy("place", value).agg(F.count(F.lit(1)).alias("n"))
+    # Explicit, so that histogram and ranking both find the cells already in place.
+    return counted.repartition("place")
+
+
+def _histogram(cells: DataFrame, value: str, width: float) -> DataFrame:
+    # Moments are taken from the lower edge of the place: small numbers, no cancellation.
+    edge = F.col("place.bucket") * F.lit(width)
     above = F.col(value) - edge
-    return (
-        cells.groupBy(*group, "bucket")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * above).alias("s1"),
-            F.sum(F.col("n") * above * above).alias("s2"),
-            F.min(value).alias("lowest"),
-            F.max(value).alias("highest"),
-        )
-        .select(
-            *group,
-            "bucket",
-            "n",
-            "lowest",
-            "highest",
-            (edge + F.col("s1") / F.col("n")).alias("centre"),
-            (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")).alias("scatter"),
-        )
+    n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
+    moments = cells.groupBy("place").agg(
+        F.sum(n).alias("n"),
+        F.sum(n * above).alias("s1"),
+        F.sum(n * above * above).alias("s2"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
+    )
+    return moments.select(
+        "place",
+        "n",
+        "lowest",
+        "highest",
+        (edge + s1 / n).alias("centre"),
+        (s2 - s1 * s1 / n).alias("scatter"),
     )
 
 
-def _middle_buckets(hist: DataFrame, group: list[str], min_count: int) -> DataFrame:
-    whole = Window.partitionBy(*group)
+def _middle_places(hist: DataFrame, keys: Sequence[str], min_count: int) -> DataFrame:
+    # Plain columns: all windows then share one shuffle and one sort.
+    hist = hist.select("*", "place.*")
+    whole = Window.partitionBy(*keys)
     so_far = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n, total, before = F.col("n"), F.col("listing_count"), F.col("before")
     gap = F.col("centre") - F.col("mean")
-    total = F.col("listing_count")
+
+    ranked = hist.withColumns(
+        {
+            "upto": F.sum(n).over(so_far),
+            "listing_count": F.sum(n).over(whole),
+            "mean": F.sum(n * F.col("centre")).over(whole) / F.sum(n).over(whole),
+            "minimum": F.min("lowest").over(whole),
+            "maximum": F.max("highest").over(whole),
+        }
+    ).filter(total >= min_count)
     return (
-        hist.withColumns(
+        ranked.withColumns(
             {
-                "upto": F.sum("n").over(so_far),
-                "listing_count": F.sum("n").over(whole),
-                "mean": F.sum(F.col("n") * F.col("centre")).over(whole) / F.sum("n").over(whole),
-                "minimum": F.min("lowest").over(whole),
-                "maximum": F.max("highest").over(whole),
-            }
-        )
-        .filter(total >= min_count)
-        .withColumns(
-            {
-                "spread": F.sum(F.col("scatter") + F.col("n") * gap * gap).over(whole),
-                "before": F.col("upto") - F.col("n"),
+                "spread": F.sum(F.col("scatter") + n * gap * gap).over(whole),
+                "before": F.col("upto") - n,
                 "low_rank": F.floor((total + 1) / 2),
                 "high_rank": F.floor(total / 2) + 1,
             }
         )
-        .filter((F.col("before") < F.col("high_rank")) & (F.col("upto") >= F.col("low_rank")))
+        .filter((before < F.col("high_rank")) & (F.col("upto") >= F.col("low_rank")))
         .select(
-            *group,
-            "bucket",
-            "listing_count",
-            "mean",
+            *["place", "before", "low_rank", "high_rank"],
+            *["listing_count", "mean", "minimum", "maximum"],
             F.when(total > 1, F.sqrt(F.col("spread") / (total - 1))).alias("stddev"),
-            "minimum",
-            "maximum",
-            "before",
-            "low_rank",
-            "high_rank",
         )
     )
 
 
 def _select_median(
-    cells: DataFrame, ranked: DataFrame, group: list[str], value: str
+    cells: DataFrame, middle: DataFrame, keys: Sequence[str], value: str
 ) -> DataFrame:
-    place = [*group, "bucket"]
-    in_bucket = (
-        Window.partitionBy(*place)
+    in_place = (
+        Window.partitionBy("place")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -143,12 +134,12 @@ def _select_median(
         return F.max(F.when(covers, F.col(value)))
 
     once = ["listing_count", "mean", "stddev", "minimum", "maximum"]
-    return (
-        cells.join(ranked, place)
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
-        .groupBy(*group)
-        .agg(
-            ((at("low_rank") + at("high_rank")) / 2).alias("median"),
-            *[F.max(name).alias(name) for name in once],
-        )
+    so_far = F.col("before") + F.sum("n").over(in_place)
+    ranked = cells.join(middle, "place").withColumn("upto", so_far).select("*", "place.*")
+    # The middle ranks lie in one place or in two: fold both to the group.
+    folded = ranked.groupBy(*keys).agg(
+        ((at("low_rank") + at("high_rank")) / 2).alias("median"),
+        *[F.max(name).alias(name) for name in once],
     )
+    # Without keys the fold gives a row even for no input.
+    return folded.filter(F.col("listing_count").isNotNull())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -42,9 +41,8 @@ def read_layer(
 
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of the parquet data at ``path``, or None when there is none yet."""
-    try:
-        return spark.read.parquet(path).schema
-    except AnalysisException as absent:
-        if absent.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    # Asked of the file system: a read that fails is logged as an error by every
+    # listener of the session, also when the failure is expected.
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.read.parquet(path).schema if files.exists(location) else None

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from forecourt import spec
+from forecourt.functions import (
+    clean_string,
+    lower_trim,
+    plausible_year,
+    price_label,
+    price_per_mile,
+    to_double,
+    to_int,
+    upper_trim,
+    wire_json,
+    wire_struct,
+)
+
+
+def one(spark, value, kind, expression):
+    df = spark.createDataFrame([(value,)], f"x {kind}")
+    return df.select(expression(F.col("x")).alias("y")).first().y
+
+
+LISTING = ("test-1", "toyota", "camry", 2018, 12000.0, 80000, "ca", None)
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("2010", 2010),
+        ("2010.0", 2010),
+        ("12.7", 12),
+        ("1e3", 1000),
+        ("abc", None),
+        ("3e9", None),
+        ("", None),
+        (None, None),
+        ("-3.9", -3),
+    ],
+)
+def test_integer_text(spark, text, expected):
+    assert one(spark, text, "string", to_int) == expected
+
+
+def test_integer_from_numbers(spark):
+    assert one(spark, 12.7, "double", to_int) == 12
+    assert one(spark, float("nan"), "double", to_int) is None
+    assert one(spark, 7, "bigint", to_int) == 7
+
+
+def test_double_text(spark):
+    assert one(spark, "12000.50", "string", to_double) == 12000.5
+    assert one(spark, "n/a", "string", to_double) is None
+
+
+def test_spelling(spark):
+    assert one(spark, "  FORD ", "string", lower_trim) == "ford"
+    assert one(spark, " ca ", "string", upper_trim) == "CA"
+    assert one(spark, "\tFord", "string", lower_trim) == "\tford"
+    assert one(spark, " F-150 (XL)! ", "string", clean_string) == "f150 xl"
+    assert one(spark, None, "string", clean_string) is None
+
+
+@pytest.mark.parametrize(("year", "ok"), [(2018, True), (1800, False), (1900, True), (2026, False)])
+def test_plausible_year(spark, year, ok):
+    assert one(spark, year, "int", plausible_year) is ok
+
+
+@pytest.mark.parametrize(
+    ("price", "mileage", "expected"),
+    [(10000.0, 100000, 0.1), (10000.0, 0, None), (1.0, 3, 0.3333), (10000.0, None, None)],
+)
+def test_price_per_mile(spark, price, mileage, expected):
+    df = spark.createDataFrame([(price, mileage)], "p double, m int")
+    assert df.select(price_per_mile(F.col("p"), F.col("m"))).first()[0] == expected
+
+
+def test_price_label(spark):
+    assert one(spark, 12000.0, "double", price_label) == "USD 12,000.00"
+    assert one(spark, 999.5, "double", price_label) == "USD 999.50"
+
+
+def test_record_has_the_eight_wire_fields(spark):
+    df = spark.createDataFrame([LISTING], spec.WIRE)
+    record = df.select(wire_struct().alias("r")).first().r
+    assert list(record.asDict()) == spec.WIRE.fieldNames()
+    assert record == Row(**dict(zip(spec.WIRE.fieldNames(), LISTING)))
+
+
+def test_json_keeps_nulls(spark):
+    text = spark.createDataFrame([LISTING], spec.WIRE).select(wire_json()).first()[0]
+    assert json.loads(text) == dict(zip(spec.WIRE.fieldNames(), LISTING))
+    assert '"condition":null' in text
