@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import spec
-from forecourt.functions import lower_trim, to_double, to_int, upper_trim
+from forecourt.functions import double_column, int_column, lower_trim, upper_trim
 from forecourt.spec import CSV_LAYOUT, SILVER_BOUNDS, Bounds, Layout
 
 
@@ -21,9 +21,9 @@ def clean(df: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
             "make": lower_trim(F.col(layout.make)),
             "model": lower_trim(F.col("model")),
             "state": upper_trim(F.col("state")),
-            "price": to_double(F.col("price")),
-            layout.mileage: to_int(F.col(layout.mileage)),
-            "year": to_int(F.col("year")),
+            "price": double_column(df, "price"),
+            layout.mileage: int_column(df, layout.mileage),
+            "year": int_column(df, "year"),
         }
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import spec
-from forecourt.functions import lower_trim, to_double, to_int, to_long
+from forecourt.functions import double_column, int_column, lower_trim, to_long
 from forecourt.spec import CSV_LAYOUT, Layout
 
 REASON = "error"
@@ -23,8 +23,8 @@ def classify(df: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
     mileage is a rejection; a mileage *column* that does not exist counts as 0.
     NULL make, model and state stay NULL. Pure projection: one pass, no shuffle.
     """
-    year = to_int(F.col("year"))
-    price = to_double(F.col("price"))
+    year = int_column(df, "year")
+    price = double_column(df, "price")
     # Judged as bigint so that an absurd odometer is "too high", not "unparsable".
     mileage = to_long(_column_or(df, layout.mileage, 0))
 

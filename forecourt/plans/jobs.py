@@ -21,6 +21,7 @@ class Lake:
     """Locations of one lake. Batch and stream Bronze differ in columns, so in place too."""
 
     root: str
+    bronze_table: str = "bronze.listings"
     silver_table: str = "silver.listings"
     gold_database: str = "gold"
 
@@ -62,14 +63,15 @@ class Report:
 def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake) -> int:
     raw = sources.read_raw_csv(spark, csv_path)
     stamped = raw.withColumn(spec.INGESTED, F.current_timestamp())
-    return sinks.overwrite_bronze(stamped, lake.batch_bronze)
+    rows = sinks.overwrite_bronze(stamped, lake.batch_bronze)
+    sources.point_table(spark, lake.bronze_table, lake.batch_bronze, stamped.schema)
+    return rows
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> int:
-    bronze = sources.read_layer(spark, lake.batch_bronze)
-    rows = sinks.overwrite_silver(silver(bronze), lake.silver)
-    sources.register_location(spark, lake.silver_table, lake.silver)
-    spark.catalog.refreshTable(lake.silver_table)
+    listings = silver(spark.table(lake.bronze_table))
+    rows = sinks.overwrite_silver(listings, lake.silver)
+    sources.point_table(spark, lake.silver_table, lake.silver, listings.schema)
     return rows
 
 

@@ -13,11 +13,11 @@ from forecourt import adapter, scratch, sinks, sources, spec, streaming
 from forecourt.adapter import RAW_COLUMNS, TIEBREAK
 from forecourt.functions import (
     clean_string,
+    double_column,
+    int_column,
     plausible_year,
     price_label,
     price_per_mile,
-    to_double,
-    to_int,
 )
 from forecourt.operators import (
     accepted,
@@ -62,6 +62,15 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_input(silver(adapter.listings(spark, sf_dir), tiebreak=TIEBREAK))
 
 
+def _lake(spark: SparkSession, purpose: str) -> jobs.Lake:
+    """A lake of its own for one run: fresh folder, fresh catalog names."""
+    root, run = scratch.new_dir(spark, purpose), uuid.uuid4().hex
+    bronze, silver_, gold_ = (f"{layer}_{run}" for layer in ("bronze", "silver", "gold"))
+    for database in (bronze, silver_, gold_):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    return jobs.Lake(root, f"{bronze}.listings", f"{silver_}.listings", gold_)
+
+
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(adapter.domain_listings(spark, sf_dir))
 
@@ -293,7 +302,7 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream Bronze of all listings, sent through the same steps the job takes."""
-    lake = jobs.Lake(scratch.new_dir(spark, "listing-stream"))
+    lake = _lake(spark, "listing-stream")
     judged = classify(adapter.listings(spark, sf_dir))
     sinks.send_files(sinks.routed_messages(judged), lake.messages)
     jobs.stream_bronze(spark, lake)
@@ -329,16 +338,16 @@ def _csv(spark: SparkSession, sf_dir: str) -> str:
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to Bronze and back."""
-    lake = jobs.Lake(scratch.new_dir(spark, "csv-bronze"))
+    lake = _lake(spark, "csv-bronze")
     jobs.ingest_csv(spark, _csv(spark, sf_dir), lake)
     bronze = sources.read_layer(spark, lake.batch_bronze)
     return bronze.select(
         "id",
         "manufacturer",
         "model",
-        to_int(F.col("year")).alias("year"),
-        to_double(F.col("price")).alias("price"),
-        to_int(F.col("odometer")).alias("odometer"),
+        int_column(bronze, "year").alias("year"),
+        double_column(bronze, "price").alias("price"),
+        int_column(bronze, "odometer").alias("odometer"),
         "state",
         "condition",
     )
@@ -367,12 +376,6 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to stored marts; returns the make mart."""
-    root = scratch.new_dir(spark, "lake")
-    unique = uuid.uuid4().hex
-    lake = jobs.Lake(
-        root, silver_table=f"silver_{unique}.listings", gold_database=f"gold_{unique}"
-    )
-    for database in (f"silver_{unique}", lake.gold_database):
-        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    lake = _lake(spark, "lake")
     jobs.run_batch(spark, _csv(spark, sf_dir), lake)
     return sources.load_mart(spark, lake.mart("mart_price_by_make"))

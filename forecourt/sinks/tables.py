@@ -5,11 +5,11 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from forecourt.operators.upsert import duplicate_keys, unmatched
 from forecourt.sinks.counting import counted
-from forecourt.sources.catalog import register_location, table_exists
+from forecourt.sources.catalog import point_table, register_location, table_exists
 
 
 class DuplicateKeys(Exception):
@@ -53,24 +53,12 @@ def upsert_table(
     if not duplicate_keys(written, key).isEmpty():
         raise DuplicateKeys(f"{key} is not unique in the rows to merge into {table}")
 
-    if not table_exists(spark, table):
-        register_location(spark, table, snapshot)
-        return merged
-    unmatched(spark.table(table), written, key).write.mode("append").parquet(snapshot)
-    _add_new_columns(spark, table, written)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{snapshot}'")
-    spark.catalog.refreshTable(table)
+    if table_exists(spark, table):
+        unmatched(spark.table(table), written, key).write.mode("append").parquet(snapshot)
+    point_table(spark, table, snapshot, written.schema)
     return merged
 
 
-def _add_new_columns(spark: SparkSession, table: str, written: DataFrame) -> None:
-    known = set(spark.table(table).columns)
-    new = [field for field in written.schema if field.name not in known]
-    added = [f"`{field.name}` {field.dataType.simpleString()}" for field in new]
-    if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
-
-
 def _merge_delta(source: DataFrame, table: str, root: str, key: str) -> None:
     from delta.tables import DeltaTable  # only with the Delta connector installed
 

@@ -1,9 +1,10 @@
-from forecourt.sources.catalog import load_mart, register_location, table_exists
+from forecourt.sources.catalog import load_mart, point_table, register_location, table_exists
 from forecourt.sources.files import existing_schema, read_layer, read_raw_csv
 
 __all__ = [
     "existing_schema",
     "load_mart",
+    "point_table",
     "read_layer",
     "read_raw_csv",
     "register_location",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def register_location(
@@ -15,6 +16,24 @@ def register_location(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{location}'")
 
 
+def point_table(spark: SparkSession, table: str, location: str, schema: T.StructType) -> None:
+    """Make ``table`` show the parquet data at ``location``, whatever it showed before.
+
+    A parquet table keeps the columns it was created with, so those of ``schema``
+    that it lacks are added. Only the catalog changes; no data is touched.
+    """
+    if not table_exists(spark, table):
+        register_location(spark, table, location)
+        return
+    known = set(spark.table(table).columns)
+    new = [field for field in schema if field.name not in known]
+    if new:
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 

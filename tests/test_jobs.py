@@ -41,7 +41,8 @@ def csv_file(tmp_path):
 @pytest.fixture
 def lake(spark, tmp_path):
     unique = uuid.uuid4().hex
-    return jobs.Lake(str(tmp_path / "lake"), f"silver_{unique}.listings", f"gold_{unique}")
+    names = (f"bronze_{unique}.listings", f"silver_{unique}.listings", f"gold_{unique}")
+    return jobs.Lake(str(tmp_path / "lake"), *names)
 
 
 def marts(spark, lake):
@@ -98,6 +99,17 @@ def test_batch_job_again_replaces_everything(spark, csv_file, lake):
     check_marts(marts(spark, lake))
 
 
+def test_a_new_csv_column_reaches_the_named_tables(spark, csv_file, lake, tmp_path):
+    jobs.run_batch(spark, csv_file, lake)
+    wider = tmp_path / "wider.csv"
+    with wider.open("w", newline="") as out:
+        csv.writer(out).writerows([[*HEADER, "paint"], *([*r, "red"] for r in raw_rows())])
+    jobs.run_batch(spark, str(wider), lake)
+    for table in (lake.bronze_table, lake.silver_table):
+        assert spark.table(table).select("paint").distinct().count() == 1
+    check_marts(marts(spark, lake))
+
+
 def test_batch_job_without_input(spark, tmp_path, lake):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         jobs.run_batch(spark, str(tmp_path / "none.csv"), lake)
