@@ -5,21 +5,25 @@ one in-memory map on one reducer. Where one make, or the whole table, owns most
 of the rows that map does not fit, and an approximate percentile gives another
 answer. ``price_profile`` finds the same median by counting:
 
-1. *cells*: rows are folded to ``(place, value) -> n`` with map-side combine, so a
-   hot make, or a hot price within it, leaves each map task as single rows. A place
-   is a group and a value range of fixed width; cells are laid out by place.
-2. *histogram*: cells are folded per place, and a window over the places of a group
-   tells which of them holds the middle ranks. A group has at most
-   ``(max - min) / width`` places, about 200,000 for Gold input, whatever its size.
-3. *select*: only cells of the middle place are ranked to read off the one or two
-   middle values.
-
-Count, mean, deviation, minimum and maximum come out of the same histogram.
-Steps 2 and 3 both start from the cells. A place is one struct, which is never
-NULL, so the optimizer has nothing to add to one side of the final join only, the
-two sides stay alike and Spark runs the shuffle of the cells once (a plan test
-guards this). It also makes NULL an ordinary key. Nothing is broadcast by hand
-and nothing is collected.
+1. *histogram*: rows are folded per *place*, which is a group and a value range of
+   fixed width, with map-side combine. A group has at most ``(max - min) / width``
+   places (about 4,000 for Gold input) however many rows it has, and a hot group or
+   a hot value leaves each map task as single rows.
+2. *middle*: a window over the places of a group tells which one, or which two,
+   hold the middle ranks. Count, mean, deviation, minimum and maximum come along.
+3. *select*: the rows of the middle places are folded to ``value -> n`` and ranked,
+   which reads off the one or two middle values. Prices are in cents, so a place has
+   at most 100 x ``width`` of them.
+
+How step 3 gets at its rows depends on the number of groups, which is known or
+counted first, because there are at most two middle places per group:
+
+- up to ``FEW_GROUPS``: the middle places are broadcast and the frame is read a
+  second time, keeping a few rows in a thousand before anything is shuffled.
+- more: all rows are folded to ``(place, value) -> n`` first, in one pass that feeds
+  both the histogram and, by a shuffled join, the selection.
+
+Both give the same result; nothing is collected, capped or approximated.
 """
 
 from __future__ import annotations
@@ -29,10 +33,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1.0
+BUCKET_WIDTH = 50.0
+
+# Two middle places per group at some 150 bytes each: below 20 MB broadcast.
+FEW_GROUPS = 50_000
 
 STATS = ["listing_count", "median", "mean", "stddev", "minimum", "maximum"]
 
+# What step 2 finds out about a group and step 3 still needs.
+_FOUND = ["before", "low_rank", "high_rank", *(s for s in STATS if s != "median")]
+
 
 def price_profile(
     df: DataFrame,
@@ -40,34 +50,74 @@ def price_profile(
     value: str = "price",
     min_count: int = 1,
     width: float = BUCKET_WIDTH,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """``keys`` plus ``STATS`` for every group with at least ``min_count`` rows.
 
-    Rows whose ``value`` is NULL are left out, as aggregates do (Gold input has
-    none). ``width`` trades the places per group against the values per place and
-    does not change the result. Without ``keys`` the whole frame is one group, and
-    an empty frame gives no row.
+    ``few_groups`` says whether the groups are known to be few; None counts them,
+    which runs a small job at once. ``df`` is read up to three times and should be
+    a stored frame. ``width`` trades the places per group against the values per
+    place and does not change the result.
+
+    Rows whose ``value`` is NULL are left out, as aggregates do. A NULL key is a key.
+    Without ``keys`` the whole frame is one group, and an empty frame gives no row.
     """
-    cells = _cells(df, keys, value, width)
-    middle = _middle_places(_histogram(cells, value, width), keys, min_count)
-    return _select_median(cells, middle, keys, value).select(*keys, *STATS)
+    if few_groups is None:
+        few_groups = not keys or has_few_groups(df, keys, min_count)
+    rows = _placed(df, keys, value, width)
+    if few_groups:
+        middle = _middle_places(_histogram(rows, value, width), keys, min_count)
+        near = _rows_in(rows, middle).groupBy("place", value)
+        cells = near.agg(F.sum("n").alias("n"), *[F.max(name).alias(name) for name in _FOUND])
+    else:
+        counted = _cells(rows, value)
+        middle = _middle_places(_histogram(counted, value, width), keys, min_count)
+        cells = counted.join(middle, "place")
+    return _read_off(cells, keys, value).select(*keys, *STATS)
+
+
+def has_few_groups(df: DataFrame, keys: Sequence[str], min_count: int = 1) -> bool:
+    """Whether at most ``FEW_GROUPS`` groups have ``min_count`` rows; reads the keys only."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+    return sizes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+
+
+def _placed(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+    # One struct, never NULL: joins on it need no NULL filter, which would make the
+    # two sides of the shuffled join differ and keep Spark from sharing their shuffle.
+    place = F.struct(*keys, F.floor(F.col(value) / width).alias("bucket")).alias("place")
+    return df.filter(F.col(value).isNotNull()).select(place, value, F.lit(1).alias("n"))
+
+
+def _rows_in(rows: DataFrame, middle: DataFrame) -> DataFrame:
+    """Rows whose place is one of the broadcast places, with what was found for it.
+
+    Every row of the frame is looked up, and Spark looks up one long several times
+    faster than text. So the join key is a hash of the place, and only rows that hit
+    compare the places themselves; as ``array_contains``, because Spark would make an
+    equality part of the key.
+    """
+    keyed = rows.withColumn("hash", F.xxhash64("place"))
+    found = middle.select(
+        F.xxhash64("place").alias("found_hash"), F.col("place").alias("found_place"), *_FOUND
+    )
+    same_place = F.array_contains(F.array("found_place"), F.col("place"))
+    hit = (F.col("hash") == F.col("found_hash")) & same_place
+    return keyed.join(F.broadcast(found), hit)
 
 
-def _cells(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
-    bucket = F.floor(F.col(value) / width).alias("bucket")
-    place = F.struct(*keys, bucket).alias("place")
-    placed = df.filter(F.col(value).isNotNull()).select(place, value)
-    counted = placed.groupBy("place", value).agg(F.count(F.lit(1)).alias("n"))
+def _cells(rows: DataFrame, value: str) -> DataFrame:
+    counted = rows.groupBy("place", value).agg(F.sum("n").alias("n"))
     # Explicit, so that histogram and ranking both find the cells already in place.
     return counted.repartition("place")
 
 
-def _histogram(cells: DataFrame, value: str, width: float) -> DataFrame:
+def _histogram(rows: DataFrame, value: str, width: float) -> DataFrame:
     # Moments are taken from the lower edge of the place: small numbers, no cancellation.
     edge = F.col("place.bucket") * F.lit(width)
     above = F.col(value) - edge
     n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
-    moments = cells.groupBy("place").agg(
+    moments = rows.groupBy("place").agg(
         F.sum(n).alias("n"),
         F.sum(n * above).alias("s1"),
         F.sum(n * above * above).alias("s2"),
@@ -101,27 +151,20 @@ def _middle_places(hist: DataFrame, keys: Sequence[str], min_count: int) -> Data
             "maximum": F.max("highest").over(whole),
         }
     ).filter(total >= min_count)
-    return (
-        ranked.withColumns(
-            {
-                "spread": F.sum(F.col("scatter") + n * gap * gap).over(whole),
-                "before": F.col("upto") - n,
-                "low_rank": F.floor((total + 1) / 2),
-                "high_rank": F.floor(total / 2) + 1,
-            }
-        )
-        .filter((before < F.col("high_rank")) & (F.col("upto") >= F.col("low_rank")))
-        .select(
-            *["place", "before", "low_rank", "high_rank"],
-            *["listing_count", "mean", "minimum", "maximum"],
-            F.when(total > 1, F.sqrt(F.col("spread") / (total - 1))).alias("stddev"),
-        )
+    ranked = ranked.withColumns(
+        {
+            "spread": F.sum(F.col("scatter") + n * gap * gap).over(whole),
+            "before": F.col("upto") - n,
+            "low_rank": F.floor((total + 1) / 2),
+            "high_rank": F.floor(total / 2) + 1,
+        }
     )
+    deviation = F.when(total > 1, F.sqrt(F.col("spread") / (total - 1)))
+    holds_middle = (before < F.col("high_rank")) & (F.col("upto") >= F.col("low_rank"))
+    return ranked.filter(holds_middle).withColumn("stddev", deviation).select("place", *_FOUND)
 
 
-def _select_median(
-    cells: DataFrame, middle: DataFrame, keys: Sequence[str], value: str
-) -> DataFrame:
+def _read_off(cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     in_place = (
         Window.partitionBy("place")
         .orderBy(value)
@@ -133,13 +176,15 @@ def _select_median(
         covers = (upto - F.col("n") < F.col(rank)) & (upto >= F.col(rank))
         return F.max(F.when(covers, F.col(value)))
 
-    once = ["listing_count", "mean", "stddev", "minimum", "maximum"]
-    so_far = F.col("before") + F.sum("n").over(in_place)
-    ranked = cells.join(middle, "place").withColumn("upto", so_far).select("*", "place.*")
+    ranked = cells.withColumn("upto", F.col("before") + F.sum("n").over(in_place))
     # The middle ranks lie in one place or in two: fold both to the group.
-    folded = ranked.groupBy(*keys).agg(
-        ((at("low_rank") + at("high_rank")) / 2).alias("median"),
-        *[F.max(name).alias(name) for name in once],
+    folded = (
+        ranked.select("*", "place.*")
+        .groupBy(*keys)
+        .agg(
+            ((at("low_rank") + at("high_rank")) / 2).alias("median"),
+            *[F.max(name).alias(name) for name in STATS if name != "median"],
+        )
     )
     # Without keys the fold gives a row even for no input.
     return folded.filter(F.col("listing_count").isNotNull())

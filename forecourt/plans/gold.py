@@ -1,4 +1,8 @@
-"""The four Gold marts over the valid listing set (A1-A4) and their read-time order."""
+"""The four Gold marts over the valid listing set (A1-A4) and their read-time order.
+
+Each mart reads its two to four columns of ``valid`` more than once and shuffles
+little more than its own groups, so ``valid`` should be stored.
+"""
 
 from __future__ import annotations
 
@@ -27,8 +31,8 @@ def price_by_make(valid: DataFrame, min_group: int = spec.MIN_GROUP) -> DataFram
 
 
 def price_by_state(valid: DataFrame) -> DataFrame:
-    """Price statistics per state (A2)."""
-    return price_profile(valid, ["state"]).select(
+    """Price statistics per state (A2). Gold input has the 50 states only."""
+    return price_profile(valid, ["state"], few_groups=True).select(
         "state",
         "listing_count",
         _whole_units("median").alias("median_price"),
@@ -53,11 +57,11 @@ def price_by_year(
     """Depreciation curve: make and year for the ``top`` largest makes.
 
     ``by_make`` is the make mart when it already exists as a table; without it the
-    counts are taken from ``valid``. The broadcast side has exactly ``top`` rows.
+    counts are taken from ``valid``. Few groups: ``top`` makes times the years in bounds.
     """
     leaders = largest_makes(make_counts(valid) if by_make is None else by_make, top)
     of_leaders = valid.join(F.broadcast(leaders), "make", "left_semi")
-    return price_profile(of_leaders, ["make", "year"]).select(
+    return price_profile(of_leaders, ["make", "year"], few_groups=True).select(
         "make",
         "year",
         "listing_count",
