@@ -18,7 +18,11 @@ from forecourt.spec import CSV_LAYOUT, WIRE_LAYOUT, Layout
 
 @dataclass(frozen=True)
 class Lake:
-    """Locations of one lake. Batch and stream Bronze differ in columns, so in place too."""
+    """Locations and names of one lake.
+
+    Batch and stream listings differ in columns, so their Bronze and Silver live apart
+    and one lake can serve both jobs. Gold is shared: it shows the run that came last.
+    """
 
     root: str
     bronze_table: str = "bronze.listings"
@@ -31,11 +35,11 @@ class Lake:
 
     @property
     def stream_bronze(self) -> str:
-        return f"{self.root}/bronze/listings"
+        return f"{self.root}/bronze/listings_stream"
 
     @property
     def bronze_checkpoint(self) -> str:
-        return f"{self.root}/bronze/_checkpoints/listings"
+        return f"{self.root}/bronze/_checkpoints/listings_stream"
 
     @property
     def messages(self) -> str:
@@ -45,8 +49,16 @@ class Lake:
         return f"{self.messages}/topic={name}"
 
     @property
-    def silver(self) -> str:
-        return f"{self.root}/silver/listings"
+    def batch_silver(self) -> str:
+        return f"{self.root}/silver/listings_csv"
+
+    @property
+    def stream_silver(self) -> str:
+        return f"{self.root}/silver/listings_stream"
+
+    @property
+    def stream_silver_table(self) -> str:
+        return f"{self.silver_table}_stream"
 
     def mart(self, name: str) -> str:
         return f"{self.gold_database}.{name}"
@@ -70,8 +82,8 @@ def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake) -> int:
 
 def build_silver(spark: SparkSession, lake: Lake) -> int:
     listings = silver(spark.table(lake.bronze_table))
-    rows = sinks.overwrite_silver(listings, lake.silver)
-    sources.point_table(spark, lake.silver_table, lake.silver, listings.schema)
+    rows = sinks.overwrite_silver(listings, lake.batch_silver)
+    sources.point_table(spark, lake.silver_table, lake.batch_silver, listings.schema)
     return rows
 
 
@@ -95,7 +107,8 @@ def stream_bronze(spark: SparkSession, lake: Lake, timeout: int = 3600) -> None:
 def upsert_silver(spark: SparkSession, lake: Lake) -> int:
     """Clean all of stream Bronze and merge it into Silver; counts the merged rows."""
     bronze = streaming.usable(sources.read_layer(spark, lake.stream_bronze))
-    return sinks.upsert_table(silver(bronze, WIRE_LAYOUT), lake.silver_table, lake.silver)
+    listings = silver(bronze, WIRE_LAYOUT)
+    return sinks.upsert_table(listings, lake.stream_silver_table, lake.stream_silver)
 
 
 def build_gold(silver_rows: DataFrame, lake: Lake, layout: Layout = CSV_LAYOUT) -> dict[str, int]:
@@ -131,5 +144,5 @@ def run_stream(spark: SparkSession, csv_path: str, lake: Lake) -> Report:
     report = Report(rows=produce(spark, csv_path, lake))
     stream_bronze(spark, lake)
     report.rows["silver"] = upsert_silver(spark, lake)
-    report.checks = build_gold(spark.table(lake.silver_table), lake, WIRE_LAYOUT)
+    report.checks = build_gold(spark.table(lake.stream_silver_table), lake, WIRE_LAYOUT)
     return report

@@ -121,6 +121,18 @@ sent as (
   from raw
   where price > 0 and price <= 500000 and odometer between 0 and 1000000)"""
 
+# Arrival times tie in one micro-batch, so the record itself decides which copy stays.
+_STREAM_SILVER = f"""{_SENT},
+normal as (
+  select id, make, model, year, price, mileage, upper(trim(state)) as state, condition
+  from sent),
+one as (
+  select * from normal qualify row_number() over (partition by id order by
+    make nulls first, model, year, price, mileage, state, condition) = 1),
+silver as (
+  select * from one
+  where {_IN_BOUNDS} and mileage between 0 and 500000 and make is not null and make <> '')"""
+
 _SPLIT = f"""{_LISTINGS},
 ranked as (
   select *, ingested_at >= timestamp '1999-01-01' as fresh,
@@ -213,15 +225,7 @@ ORACLES: dict[str, str] = {
       select event_id, cast(json_extract(props, '$.k') as integer) as k from events""",
     "stream_to_bronze": "select event_id, user_id, event_type, value from events",
     "stream_listings": f"with {_SENT} select * from sent",
-    "stream_silver": f"""with {_SENT},
-      normal as (
-        select id, make, model, year, price, mileage, upper(trim(state)) as state, condition
-        from sent),
-      one as (
-        select * from normal qualify row_number() over (partition by id order by
-          make nulls first, model, year, price, mileage, state, condition) = 1)
-      select * from one
-      where {_IN_BOUNDS} and mileage between 0 and 500000 and make is not null and make <> ''""",
+    "stream_silver": f"with {_STREAM_SILVER} select * from silver",
     "csv_roundtrip": f"""with {_LISTINGS}
       select id, manufacturer, model, year, price, cast(trunc(odometer) as integer) as odometer,
         state, condition
@@ -230,4 +234,7 @@ ORACLES: dict[str, str] = {
       select o_orderkey as id, o_totalprice as price, null::varchar as condition from orders
       union all select c_custkey, c_acctbal, c_mktsegment from customer""",
     "batch_job": f"with {_chain(order=_CSV_TIES)} {_BY_MAKE}",
+    "stream_job": f"""with {_STREAM_SILVER},
+      valid as (select * from silver where make <> 'unknown' and state in ({_STATES}))
+      {_BY_MAKE}""",
 }

@@ -382,3 +382,11 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, "lake")
     jobs.run_batch(spark, _csv(spark, sf_dir), lake)
     return sources.load_mart(spark, lake.mart("mart_price_by_make"))
+
+
+@query
+def stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2, S2, A12, K6, ST1, U1, K8, Q6: CSV to messages to stored marts; returns the make mart."""
+    lake = _lake(spark, "lake")
+    jobs.run_stream(spark, _csv(spark, sf_dir), lake)
+    return sources.load_mart(spark, lake.mart("mart_price_by_make"))

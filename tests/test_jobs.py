@@ -123,12 +123,22 @@ def test_stream_job_twice(spark, csv_file, lake):
     second = jobs.run_stream(spark, csv_file, lake)
     assert second.rows == first.rows
     assert sources.read_layer(spark, lake.stream_bronze).count() == 2 * 134
-    assert sources.load_mart(spark, lake.silver_table).count() == 131
+    assert sources.load_mart(spark, lake.stream_silver_table).count() == 131
     check_marts(marts(spark, lake))
     rejected = spark.read.text(lake.topic(spec.REJECTED_TOPIC))
     assert rejected.count() == 4
 
 
+def test_both_jobs_share_a_lake(spark, csv_file, lake):
+    assert jobs.run_batch(spark, csv_file, lake).rows["silver"] == 131
+    assert jobs.run_stream(spark, csv_file, lake).rows["silver"] == 131
+    assert jobs.run_batch(spark, csv_file, lake).rows["silver"] == 131
+    assert "odometer" in spark.table(lake.silver_table).columns
+    assert "mileage" in spark.table(lake.stream_silver_table).columns
+    assert spark.table(lake.stream_silver_table).count() == 131
+    check_marts(marts(spark, lake))
+
+
 def test_failed_check_stops_the_job(spark, csv_file, lake):
     raw = sources.read_raw_csv(spark, csv_file).withColumnRenamed("url", spec.INGESTED)
     with pytest.raises(ChecksFailed, match="unique_id"):
