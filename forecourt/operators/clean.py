@@ -6,6 +6,8 @@ that Catalyst can push into a parquet scan when the frame comes from one.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +57,16 @@ def silver_valid(
 
 
 def staging(silver: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
-    """Nine typed columns with the final names, rows without price, year or make dropped."""
-    source = {"make": layout.make, "mileage": layout.mileage}
+    """Nine typed columns with the final names, rows without price, year or make dropped.
+
+    A frame that has been cleaned already carries ``make``; starting from that instead of
+    the raw spelling means one column less to shuffle or scan, with the same outcome.
+    """
+    if "make" in silver.columns:
+        layout = replace(layout, make="make")
     typed = clean(silver.dropna(subset=["price", "year", layout.make]), layout)
-    return typed.select(
-        *[
-            F.col(source[name]).alias(name) if name == "mileage" else F.col(name)
-            for name in spec.STAGING_COLUMNS
-        ]
-    )
+    renamed = {"mileage": layout.mileage}
+    return typed.select(*[F.col(renamed.get(c, c)).alias(c) for c in spec.STAGING_COLUMNS])
 
 
 def gold_valid(stg: DataFrame, bounds: Bounds = SILVER_BOUNDS) -> DataFrame:
