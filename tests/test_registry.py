@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from forecourt.registry import ORACLES, QUERIES
 
 SF_DIR = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
@@ -27,10 +28,12 @@ def by_name(columns, data):
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
     df = contract.queries()[name](spark, str(SF_DIR))
     found = oracle.execute(contract.oracle_sql()[name])
