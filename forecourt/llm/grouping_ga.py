@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -31,13 +33,26 @@ from forecourt.llm import common
 CAPACITY, REGION, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 4096, 2, 2, 6, 6
 CACHED_WORDS = 400_000
 MARK = "\x01"
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*%#$&|]*)")
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The usual byte-level spelling: visible Latin-1 stays, other bytes follow from 256."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [x for x in range(256) if x not in visible]
+    return {x: 256 + i for i, x in enumerate(hidden)}
+
+
+BYTES = byte_alphabet()
 
 
 class WordTokens:
     """Ids of whole texts, looked up by parts between spaces and line breaks.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its parts in order. Parts not met before are encoded together, MARK between.
+    those of its parts in order. A part of Latin letters and closing marks is two units of
+    the tokenizer's splitting rule and goes straight to its BPE model, lower-cased and in
+    that model's byte alphabet. All other parts take the whole tokenizer, MARK between.
     """
 
     def __init__(self, path: str):
@@ -45,16 +60,35 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
+        self.model = self.tool.model
         self.mark = self._ids(MARK)
         self.known: dict[str, bytes] = {"": b""}
+        self.units: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _unit(self, unit: str) -> bytes:
+        found = self.units.get(unit)
+        if found is None:
+            spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(BYTES)
+            ids = [x.id for x in self.model.tokenize(spelled)]
+            found = self.units[unit] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
     def _learn(self, parts: list[str]) -> None:
         if len(self.known) > CACHED_WORDS:
             self.known = {"": b""}
-        plain = [x for x in parts if MARK not in x] if len(self.mark) == 1 else []
+        if len(self.units) > CACHED_WORDS:
+            self.units = {"": b""}
+        rest = []
+        for part in parts:
+            m = PLAIN.fullmatch(part)
+            if m:
+                self.known[part] = self._unit(m[1].lower()) + self._unit(m[2])
+            else:
+                rest.append(part)
+        plain = [x for x in rest if MARK not in x] if len(self.mark) == 1 else []
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
             ids = self._ids(f" {MARK} ".join(some))
@@ -63,16 +97,15 @@ class WordTokens:
             raw = ids.astype("<u4").tobytes()
             for part, a, b in zip(some, begins, ends, strict=True):
                 self.known[part] = raw[4 * a : 4 * b]
-        for part in set(parts).difference(plain):
+        for part in set(rest).difference(plain):
             self.known[part] = self._ids(part).astype("<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
-        new = set().union(*split).difference(self.known)
+        met = set().union(*split)
+        new = met.difference(self.known)
         if new:
-            if len(self.known) > CACHED_WORDS:
-                new = set().union(*split)
-            self._learn(sorted(new))
+            self._learn(list(met if len(self.known) > CACHED_WORDS else new))
         known = self.known
         return [b"".join([known[x] for x in parts]) for parts in split]
 
