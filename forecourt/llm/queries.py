@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import bpe_tree, grouping_ga, run_merge
+from forecourt.llm import bpe_tree, grouping_ga, run_merge, toxic_crf
 from forecourt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,10 @@ def op10_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op5_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_crf.toxic_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
