@@ -32,7 +32,7 @@ from pyspark.sql.types import DoubleType
 
 from forecourt.llm import common
 
-SAMPLE, MIN_DOCS, MIN_SHARE, PURITY, STEPS = 3000, 4, 0.005, 0.8, 300
+SAMPLE, MIN_DOCS, MIN_SHARE, PURITY, STEPS, BLOCK = 2000, 4, 0.005, 0.8, 100, 100
 PREFIXES = (3, 4, 5, 6, 7)
 REJECT_AT = 0.3
 POWERS = 256
@@ -165,6 +165,15 @@ def _logistic(x, y, weight, steps=STEPS, ridge=1e-3) -> np.ndarray:
     return w
 
 
+def _distinct(words: common.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, document) of a block, each pair once."""
+    features = _token_features(words)
+    doc = np.broadcast_to(words.doc, features.shape)[features > 0]
+    features = features[features > 0]
+    _, once = np.unique(common.mix(features + common.mix(doc.astype(np.uint64))), return_index=True)
+    return features[once], doc[once]
+
+
 def _constant(score: float) -> Field:
     low = np.log(max(score, 1e-6) / max(1 - score, 1e-6))
     none = np.zeros(0)
@@ -175,33 +184,31 @@ def fit(rows: list[str], toxic: np.ndarray, weight: np.ndarray) -> Field:
     """A field from texts with labels 0 and 1 and the number of rows each stands for."""
     if not len(rows) or toxic.min() == toxic.max():
         return _constant(float(toxic.mean()) if len(rows) else 0.0)
-    words = []
-    for a in range(0, len(rows), 200):
-        words.append(common.Words(*_texts(rows[a : a + 200])))
-    # documents per feature and class, each document once
-    every, label = [], []
-    for k, w in enumerate(words):
-        f = _token_features(w)
-        doc = np.broadcast_to(w.doc, f.shape)
-        pair = np.unique(np.stack([f[f > 0], doc[f > 0].astype(np.uint64)]), axis=1)
-        every.append(pair[0])
-        label.append(np.stack([toxic, weight])[:, 200 * k + pair[1].astype(int)])
-    feature, at = np.unique(np.concatenate(every), return_inverse=True)
-    y, of = np.concatenate(label, 1)
-    docs = np.bincount(at)
-    bad = np.bincount(at, y * of)
-    purity = bad / np.bincount(at, of)
-    pure = (docs >= max(MIN_DOCS, toxic.sum() * MIN_SHARE)) & (purity >= PURITY)
-    table = feature[pure]
+    blocks = [slice(a, a + BLOCK) for a in range(0, len(rows), BLOCK)]
+    # documents per feature of the toxic rows, each document once; then those of all rows
+    bad = [i for i in range(len(rows)) if toxic[i]]
+    found = []
+    for a in range(0, len(bad), BLOCK):
+        found.append(_distinct(common.Words(*_texts([rows[i] for i in bad[a : a + BLOCK]])))[0])
+    table, docs = np.unique(np.concatenate(found), return_counts=True)
+    table = table[docs >= max(MIN_DOCS, len(bad) * MIN_SHARE)]
+    share = np.zeros((2, len(table)))
+    for block in blocks:
+        feature, doc = _distinct(common.Words(*_texts(rows[block])))
+        at = _lookup(feature, table)
+        doc, at = doc[at >= 0], at[at >= 0]
+        np.add.at(share, (toxic[block][doc].astype(int), at), weight[block][doc])
+    table = table[share[1] >= PURITY * share.sum(0)]
     if not len(table):
         return _constant(float((toxic * weight).sum() / weight.sum()))
     # token labels, then the token potential as a logistic model over table entries
     seen = np.zeros((2, len(table)))
     pairs, plain, count = np.zeros((2, 2)), 0.0, np.zeros(2)
-    for k, w in enumerate(words):
+    for block in blocks:
+        w = common.Words(*_texts(rows[block]))
         hit = _lookup(_token_features(w), table)
-        mark = ((hit >= 0).any(0) & (toxic[200 * k + w.doc] > 0)).astype(int)
-        own = weight[200 * k + w.doc]
+        mark = ((hit >= 0).any(0) & (toxic[block][w.doc] > 0)).astype(int)
+        own = weight[block][w.doc]
         for row in hit:
             ok = row >= 0
             np.add.at(seen, (mark[ok], row[ok]), own[ok])
@@ -216,10 +223,7 @@ def fit(rows: list[str], toxic: np.ndarray, weight: np.ndarray) -> Field:
     transition = np.clip((pairs + 0.5) / (chance + 0.5), 0.05, 20)
     field = Field(table, weights, bias, transition, np.zeros(4))
     x = np.concatenate(
-        [
-            _document_features(*_tag(field, *_texts(rows[a : a + 200])), len(rows[a : a + 200]))
-            for a in range(0, len(rows), 200)
-        ]
+        [_document_features(*_tag(field, *_texts(rows[x])), len(rows[x])) for x in blocks]
     )
     field.document = _logistic(x, toxic, weight / weight.mean())
     return field
@@ -250,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
         picked = docs.sparkSession.createDataFrame([(i,) for i in of], "doc_id long")
         found = common.texts(docs).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
         rows = sorted(
-            (r["doc_id"], r["text"][:SAMPLE_CHARS]) for r in found.toLocalIterator()
+            (r["doc_id"], r["text"]) for r in found.toLocalIterator()
         )
     return fit(
         [text for _, text in rows],
@@ -259,10 +263,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     )
 
 
-# Training only: a sampled text longer than this counts with its beginning. Scores read all.
-SAMPLE_CHARS = 40_000
-
-
 def _score(field: Field, column: pa.Array, spans: bool):
     offsets, data = common.buffers(column)
     scores, marked = np.zeros(len(column)), []
