@@ -18,8 +18,8 @@ from __future__ import annotations
 import bisect
 import os
 import re
-import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -32,8 +32,9 @@ from forecourt.llm import common
 
 CAPACITY, REGION, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 4096, 2, 2, 6, 6
 CACHED_WORDS = 400_000
-MARK = "\x01"
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*%#$&|]*)")
+# Letters that normalisation leaves as they are, and marks that form one unit.
+LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = ".,!?;:*%#$&|"
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -46,68 +47,48 @@ def byte_alphabet() -> dict[int, int]:
 BYTES = byte_alphabet()
 
 
-class WordTokens:
-    """Ids of whole texts, looked up by parts between spaces and line breaks.
+class WordTokens(dict):
+    """Ids, as bytes, of the parts of a text between spaces and line breaks.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
     those of its parts in order. A part of Latin letters and closing marks is two units of
     the tokenizer's splitting rule and goes straight to its BPE model, lower-cased and in
-    that model's byte alphabet. All other parts take the whole tokenizer, MARK between.
+    that model's byte alphabet. All other parts take the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
         self.model = self.tool.model
-        self.mark = self._ids(MARK)
-        self.known: dict[str, bytes] = {"": b""}
         self.units: dict[str, bytes] = {"": b""}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tool.encode(text, add_special_tokens=False).ids, np.uint32)
-
     def _unit(self, unit: str) -> bytes:
         found = self.units.get(unit)
         if found is None:
+            if len(self.units) > CACHED_WORDS:
+                self.units = {"": b""}
             spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(BYTES)
-            ids = [x.id for x in self.model.tokenize(spelled)]
-            found = self.units[unit] = struct.pack(f"<{len(ids)}I", *ids)
+            found = array("I", [x.id for x in self.model.tokenize(spelled)]).tobytes()
+            self.units[unit] = found
+        return found
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        core = part.rstrip(MARKS)
+        if core.isalpha() and (core.isascii() or LATIN.fullmatch(core)):
+            found = self._unit(core.lower()) + self._unit(part[len(core) :])
+        else:
+            ids = self.tool.encode(part, add_special_tokens=False).ids
+            found = array("I", ids).tobytes()
+        self[part] = found
         return found
 
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        if len(self.units) > CACHED_WORDS:
-            self.units = {"": b""}
-        rest = []
-        for part in parts:
-            m = PLAIN.fullmatch(part)
-            if m:
-                self.known[part] = self._unit(m[1].lower()) + self._unit(m[2])
-            else:
-                rest.append(part)
-        plain = [x for x in rest if MARK not in x] if len(self.mark) == 1 else []
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = self._ids(f" {MARK} ".join(some))
-            cuts = np.flatnonzero(ids == self.mark[0])
-            begins, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            raw = ids.astype("<u4").tobytes()
-            for part, a, b in zip(some, begins, ends, strict=True):
-                self.known[part] = raw[4 * a : 4 * b]
-        for part in set(rest).difference(plain):
-            self.known[part] = self._ids(part).astype("<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        met = set().union(*split)
-        new = met.difference(self.known)
-        if new:
-            self._learn(list(met if len(self.known) > CACHED_WORDS else new))
-        known = self.known
-        return [b"".join([known[x] for x in parts]) for parts in split]
+    def encode(self, text: str) -> bytes:
+        return b"".join([self[x] for x in text.replace("\n", " ").split(" ")])
 
 
 @lru_cache(maxsize=2)
@@ -124,9 +105,9 @@ def cut_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataF
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
-                encoded = tool.encode(part.column("text").to_pylist())
-                for doc, data in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
-                    data += b"\0\0\0\0"
+                texts = part.column("text").to_pylist()
+                for doc, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                    data = tool.encode(text) + b"\0\0\0\0"
                     for n, a in enumerate(range(0, len(data), 4 * capacity)):
                         own = data[a : a + 4 * capacity]
                         rows.append((doc, n, a // 4, len(own) // 4, zlib.crc32(own)))
