@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import bpe_tree, grouping_ga, run_merge, toxic_crf
+from forecourt.llm import bpe_tree, chosen_path, grouping_ga, run_merge, skip_crf, toxic_crf
 from forecourt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,44 @@ def op5_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_crf.toxic_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return skip_crf.find_documents(docs, skip_crf.train(docs))
+
+
+@query
+def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similarity_join(table(spark, sf_dir, "documents"))
+
+
+# Shingles as lists of words; the words are runs without ASCII space, marks or controls.
+ORACLES["op4_chosen_path_join"] = r"""
+with recursive w as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-/:-@\[-`{-\x7f]+'), x -> x <> '') as ws
+    from documents
+), g as (
+    select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+        else list_distinct(list_transform(range(1, len(ws) - 3),
+            i -> array_to_string(ws[i : i + 4], ' '))) end as gs
+    from w
+), s as materialized (select doc_id, len(gs) as n, unnest(gs) as g from g),
+links as materialized (
+    select a.doc_id as u, b.doc_id as v
+    from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 9 * count(*) >= 4 * (a.n + b.n)
+), reach as (
+    select doc_id as u, doc_id as v from documents
+    union
+    select r.u, l.v from reach r join links l on l.u = r.v
+)
+select d.doc_id, min(r.v) as class_id,
+    (select count(*) from links l where l.u = d.doc_id) as n_links
+from documents d join reach r on r.u = d.doc_id
+group by d.doc_id
+"""
