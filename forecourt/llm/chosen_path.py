@@ -148,7 +148,7 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
     new = np.ones(len(bucket), bool)
     new[1:] = bucket[1:] != bucket[:-1]
     cuts, out = np.flatnonzero(new), []
-    for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+    for a, b in zip(cuts, np.append(cuts[1:], len(bucket))[: len(cuts)], strict=True):
         if b - a > 1:
             out += _candidates_within(ids[a:b], signs[a:b])
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64").drop_duplicates()

@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import bpe_tree, chosen_path, grouping_ga, run_merge, skip_crf, toxic_crf
+from forecourt.llm import (
+    bpe_tree,
+    chosen_path,
+    grouping_ga,
+    run_merge,
+    skip_crf,
+    suffix_sort,
+    toxic_crf,
+)
 from forecourt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,14 +83,14 @@ def op4_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Shingles as lists of words; the words are runs without ASCII space, marks or controls.
 ORACLES["op4_chosen_path_join"] = r"""
 with recursive w as (
-    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    select doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-/:-@\[-`{-\x7f]+'), x -> x <> '') as ws
+        '[\x00-/:-@\[-`{-\x7f]+') if x <> ''] as ws
     from documents
 ), g as (
     select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
-        else list_distinct(list_transform(range(1, len(ws) - 3),
-            i -> array_to_string(ws[i : i + 4], ' '))) end as gs
+        else list_distinct([array_to_string(ws[i : i + 4], ' ') for i in range(1, len(ws) - 3)])
+        end as gs
     from w
 ), s as materialized (select doc_id, len(gs) as n, unnest(gs) as g from g),
 links as materialized (
@@ -100,3 +108,8 @@ select d.doc_id, min(r.v) as class_id,
 from documents d join reach r on r.u = d.doc_id
 group by d.doc_id
 """
+
+
+@query
+def op8_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.remove_repeats(table(spark, sf_dir, "documents"))
