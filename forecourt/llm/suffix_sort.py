@@ -357,7 +357,9 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, small
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _marked(docs)
     places = common.store(rows.mapInArrow(_places(length, gram), PLACE), "places")
-    twice = places.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    twice = common.store(
+        places.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "twice"
+    )
     hits = common.store(places.join(twice, "key", "left_semi"), "hits")
     found = []
     width = 1 << (length - gram).bit_length()
