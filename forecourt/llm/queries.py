@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from forecourt.llm import (
     bpe_tree,
     chosen_path,
+    ego_join,
     grouping_ga,
     run_merge,
     skip_crf,
     suffix_sort,
+    template,
     toxic_crf,
 )
 from forecourt.llm.common import table
@@ -113,3 +115,36 @@ group by d.doc_id
 @query
 def op8_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sort.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_epsilon_grid_join"] = """
+with recursive e as (
+    select vec_id, [x::double for x in embedding] as v from embeddings
+), ok as (
+    select vec_id, v from e
+    where len(v) > 0 and len([x for x in v if x is null or not isfinite(x)]) = 0
+        and len([x for x in v if x <> 0]) > 0
+), links as materialized (
+    select a.vec_id as u, b.vec_id as v
+    from ok a join ok b on len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.v, b.v) >= 0.95
+), reach as (
+    select vec_id as u, vec_id as v from embeddings
+    union
+    select r.u, l.v from reach r join links l on l.u = r.v
+)
+select e.vec_id, (select count(*) from links l where l.u = e.vec_id) as n_links,
+    min(r.v) as component_id, e.vec_id = min(r.v) as kept
+from e join reach r on r.u = e.vec_id
+group by e.vec_id
+"""
+
+
+@query
+def op2_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_text(table(spark, sf_dir, "pages"))
