@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.llm import (
+    backoff,
     bpe_tree,
     chosen_path,
     ego_join,
@@ -148,3 +149,39 @@ group by e.vec_id
 @query
 def op2_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return template.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_stupid_backoff"] = r"""
+with w as (
+    select doc_id, unnest([x for x in regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-/:-@\[-`{-\x7f]+') if x <> '']) as w3,
+        generate_subscripts([x for x in regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-/:-@\[-`{-\x7f]+') if x <> ''], 1) as i
+    from documents
+), t as materialized (
+    select doc_id, i, w3, lag(w3) over p as w2, lag(w3, 2) over p as w1
+    from w window p as (partition by doc_id order by i)
+), c1 as (select w3 as a, count(*) as c from t group by 1),
+c2 as (select w2 as a, w3 as b, count(*) as c from t where w2 is not null group by 1, 2),
+c3 as (select w1 as a, w2 as b, w3 as d, count(*) as c from t where w1 is not null group by 1, 2, 3),
+s as (
+    select doc_id, case
+        when c3.c >= 2 then log10(c3.c) - log10(x2.c)
+        else (case when w1 is null then 0 else log10(0.4) end) + case
+            when c2.c >= 2 then log10(c2.c) - log10(x1.c)
+            else (case when w2 is null then 0 else log10(0.4) end)
+                + log10(c1.c / (select count(*) from t)) end end as s
+    from t left join c1 on c1.a = w3 left join c2 on c2.a = w2 and c2.b = w3
+    left join c3 on c3.a = w1 and c3.b = w2 and c3.d = w3
+    left join c1 as x1 on x1.a = w2 left join c2 as x2 on x2.a = w1 and x2.b = w2
+)
+select d.doc_id, count(s.s) as n_words, round(coalesce(avg(s.s), 0), 6) as score
+from documents d left join s using (doc_id) group by d.doc_id
+"""
