@@ -45,6 +45,15 @@ def _contract(batches):
         )
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one link down or only links from above."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    seen = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return seen.filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(vertex, component) of every vertex in links (u, v), component its smallest vertex.
 
@@ -59,8 +68,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = common.store(
         edges.filter("u <> v").mapInArrow(_contract, "u long, v long").distinct(), "links"
     )
-    before = None
-    while True:
+    while not _stars(edges):
         # large star: u's neighbours above u get the smallest of u and its neighbours
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
@@ -80,12 +88,6 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = common.store(edges, "stars")
-        now = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).head()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("v").alias("vertex")).distinct().withColumn("component", F.col("vertex"))
     stars = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
     known = stars.unionByName(roots)
