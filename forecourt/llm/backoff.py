@@ -6,7 +6,7 @@ of the count table that owns its hash range. There the slices merge, counts add
 the totals of a slice go back to its block, where they are joined to the block's exploded
 n-grams and the logarithms are summed per document. A frequent n-gram is one entry per
 block, so no partition grows with its frequency, and entries move as packed, compressed
-slices rather than as rows.
+slices rather than as rows. A block is one row of Spark's Arrow batches at most.
 
 Words are runs of letters and digits, A-Z lower-cased. An n-gram of two or more words is
 in the tables if it occurs MIN_COUNT times in the corpus. The score of a word is the count
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from forecourt.llm import common
 
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 24 << 20
 PARTITION_BYTES = 4 << 20
 PACKED = "block long, ids array<long>, ends array<long>, data binary, size long, words long"
 
@@ -70,13 +70,25 @@ def _pack(batches):
             number += 1
 
 
-def _words(ends, data, size):
-    raw = pa.decompress(data, size, "zstd", asbytes=True) if size else b""
-    offsets = np.concatenate([[0], np.array(ends, np.int64)])
-    return common.Words(offsets, np.frombuffer(raw, np.uint8))
+class BlockWords:
+    """Word hashes of a block, their texts, and where each text's words begin."""
 
+    def __init__(self, ends, data: bytes, size: int):
+        raw = pa.decompress(data, size, "zstd", asbytes=True) if size else b""
+        offsets = np.concatenate([[0], np.array(ends, np.int64)])
+        data = np.frombuffer(raw, np.uint8)
+        hashes, doc, first, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], 0
+        for a, b in common.chunks(offsets):
+            part = common.Words(offsets[a : b + 1], data[offsets[a] : offsets[b]])
+            hashes.append(part.hash)
+            doc.append(part.doc + a)
+            first.append(part.first[:-1] + n)
+            n += len(part.hash)
+        self.hash, self.doc = np.concatenate(hashes), np.concatenate(doc)
+        self.first = np.concatenate([*first, [n]]).astype(np.int64)
 
-def _grams(words: common.Words, order: int):
+
+def _grams(words: BlockWords, order: int):
     """(hash per word position that ends an n-gram of this order, those positions)."""
     hashes, _ = common.shingle(words.hash, words.doc, order)
     size = max(len(words.hash) - order + 1, 0)
@@ -92,7 +104,7 @@ def _slices(order: int, bits: int):
             for block, ends, data, size in zip(
                 *(batch.column(x).to_pylist() for x in ("block", "ends", "data", "size")), strict=True
             ):
-                words = _words(ends, data, size)
+                words = BlockWords(ends, data, size)
                 for n in range(1, order + 1):
                     found, count = np.unique(_grams(words, n)[0], return_counts=True)
                     part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
@@ -164,7 +176,7 @@ def _scores(order: int, all_words: int, alpha: float, least: int):
                         np.frombuffer(pa.decompress(totals, 8 * size, "zstd", asbytes=True), "<u8")
                     )
                     continue
-                words = _words(ends, data, size)
+                words = BlockWords(ends, data, size)
                 score = _score(words, held, order, all_words, alpha, least)
                 sums = np.bincount(words.doc, score, len(ids))
                 length = np.diff(words.first)
@@ -212,11 +224,10 @@ def score_documents(
     total, all_words = int(sums["size"] or 0), int(sums["words"] or 0)
     bits = max(0, (total // PARTITION_BYTES).bit_length())
     slices = blocks.mapInArrow(_slices(order, bits), SLICES)
-    totals = common.store(
+    totals = (
         slices.repartition(max(parts, 1 << min(bits, 14)), "n", "part")
         .sortWithinPartitions("n", "part", "block")
-        .mapInArrow(_totals, "n int, part long, block long, entries long, totals binary"),
-        "totals",
+        .mapInArrow(_totals, "n int, part long, block long, entries long, totals binary")
     )
     empty = {
         "totals": "binary", "ids": "array<long>", "ends": "array<long>", "data": "binary", "n": "int", "part": "long",
@@ -227,7 +238,7 @@ def score_documents(
                           F.col("size").alias("entries"), F.lit(None).cast("binary").alias("totals"), "ids", "ends", "data")
     return (
         left.unionByName(right)
-        .repartition(max(parts, total // (4 * BLOCK_BYTES)), "block")
+        .repartition(max(parts, total // BLOCK_BYTES), "block")
         .sortWithinPartitions("block", "kind", "n", "part")
         .mapInArrow(
             _scores(order, all_words, alpha, least), "doc_id long, n_words long, score double"
