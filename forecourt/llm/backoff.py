@@ -6,7 +6,7 @@ of the count table that owns its hash range. There the slices merge, counts add
 the totals of a slice go back to its block, where they are joined to the block's exploded
 n-grams and the logarithms are summed per document. A frequent n-gram is one entry per
 block, so no partition grows with its frequency, and entries move as packed, compressed
-slices rather than as rows. A block is one row of Spark's Arrow batches at most.
+slices rather than as rows.
 
 Words are runs of letters and digits, A-Z lower-cased. An n-gram of two or more words is
 in the tables if it occurs MIN_COUNT times in the corpus. The score of a word is the count
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from forecourt.llm import common
 
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 PARTITION_BYTES = 4 << 20
 PACKED = "block long, ids array<long>, ends array<long>, data binary, size long, words long"
 
@@ -36,6 +36,16 @@ def _press(data: bytes) -> bytes:
     return pa.compress(data, "zstd", asbytes=True)
 
 
+def _press_numbers(values: np.ndarray) -> bytes:
+    """64-bit numbers, the bytes of equal weight together: most of those are zeros."""
+    return _press(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _numbers(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, size).T).view("<u8").ravel()
+
+
 def _word_count(offsets: np.ndarray, data: np.ndarray) -> int:
     """Places where a word begins: after another kind of byte or at the start of a text."""
     inside = common.WORD_BYTE[data]
@@ -112,8 +122,9 @@ def _slices(order: int, bits: int):
                     rows = []
                     for owner, a, b in zip(owners.tolist(), cuts, [*cuts[1:], len(found)], strict=True):
                         step = np.diff(found[a:b], prepend=np.uint64(0))
-                        planes = step.view(np.uint8).reshape(-1, 8).T.tobytes()
-                        rows.append((n, owner, block, int(b - a), _press(planes), _press(count[a:b].astype("<u4").tobytes())))
+                        rows.append(
+                            (n, owner, block, int(b - a), _press_numbers(step), _press_numbers(count[a:b]))
+                        )
                     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                     columns = list(zip(*rows, strict=True)) or [[]] * 6
                     yield pa.RecordBatch.from_arrays(
@@ -144,15 +155,13 @@ def _merge(rows):
         return
     hashes, counts = [], []
     for _, _, _, size, packed, count in rows:
-        planes = np.frombuffer(pa.decompress(packed, 8 * size, "zstd", asbytes=True), np.uint8)
-        step = np.ascontiguousarray(planes.reshape(8, size).T).view(np.uint64).ravel()
-        hashes.append(np.cumsum(step, dtype=np.uint64))
-        counts.append(np.frombuffer(pa.decompress(count, 4 * size, "zstd", asbytes=True), "<u4"))
+        hashes.append(np.cumsum(_numbers(packed, size), dtype=np.uint64))
+        counts.append(_numbers(count, size))
     _, at = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(at, np.concatenate(counts)).astype(np.int64)[at]
     out, a = [], 0
     for n, part, block, size, _, _ in rows:
-        out.append((n, part, block, size, _press(total[a : a + size].astype("<u8").tobytes())))
+        out.append((n, part, block, size, _press_numbers(total[a : a + size])))
         a += size
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     yield pa.RecordBatch.from_arrays(
@@ -172,9 +181,7 @@ def _scores(order: int, all_words: int, alpha: float, least: int):
                 strict=True,
             ):
                 if kind == 0:
-                    held.setdefault(n, []).append(
-                        np.frombuffer(pa.decompress(totals, 8 * size, "zstd", asbytes=True), "<u8")
-                    )
+                    held.setdefault(n, []).append(_numbers(totals, size))
                     continue
                 words = BlockWords(ends, data, size)
                 score = _score(words, held, order, all_words, alpha, least)
