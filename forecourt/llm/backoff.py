@@ -32,8 +32,11 @@ PARTITION_BYTES = 4 << 20
 PACKED = "block long, ids array<long>, ends array<long>, data binary, size long, words long"
 
 
+PACKER = pa.Codec("zstd", compression_level=9)
+
+
 def _press(data: bytes) -> bytes:
-    return pa.compress(data, "zstd", asbytes=True)
+    return PACKER.compress(data, asbytes=True)
 
 
 def _press_numbers(values: np.ndarray) -> bytes:
@@ -120,7 +123,9 @@ def _slices(order: int, bits: int):
                     part = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
                     owners, cuts = np.unique(part, return_index=True)
                     rows = []
-                    for owner, a, b in zip(owners.tolist(), cuts, [*cuts[1:], len(found)], strict=True):
+                    for owner, a, b in zip(
+                        owners.tolist(), cuts, np.append(cuts[1:], len(found))[: len(cuts)], strict=True
+                    ):
                         step = np.diff(found[a:b], prepend=np.uint64(0))
                         rows.append(
                             (n, owner, block, int(b - a), _press_numbers(step), _press_numbers(count[a:b]))
