@@ -11,19 +11,13 @@ answer. ``price_profile`` finds the same median by counting:
    a hot value leaves each map task as single rows.
 2. *middle*: a window over the places of a group tells which one, or which two,
    hold the middle ranks. Count, mean, deviation, minimum and maximum come along.
-3. *select*: the rows of the middle places are folded to ``value -> n`` and ranked,
-   which reads off the one or two middle values. Prices are in cents, so a place has
-   at most 100 x ``width`` of them.
+3. *select*: the cells of the middle places, ``value -> n``, are ranked, which reads
+   off the one or two middle values. Prices are in cents, so a place has at most
+   100 x ``width`` of them.
 
-How step 3 gets at its rows depends on the number of groups, which is known or
-counted first, because there are at most two middle places per group:
-
-- up to ``FEW_GROUPS``: the middle places are broadcast and the frame is read a
-  second time, keeping a few rows in a thousand before anything is shuffled.
-- more: all rows are folded to ``(place, value) -> n`` first, in one pass that feeds
-  both the histogram and, by a shuffled join, the selection.
-
-Both give the same result; nothing is collected, capped or approximated.
+All rows are folded to cells ``(place, value) -> n`` first, in one pass that feeds both
+the histogram and, by a shuffled join, the selection. There is one plan for every size;
+nothing is collected, broadcast by order, capped or approximated.
 """
 
 from __future__ import annotations
@@ -35,9 +29,6 @@ from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 50.0
 
-# Two middle places per group at some 150 bytes each: below 20 MB broadcast.
-FEW_GROUPS = 50_000
-
 STATS = ["listing_count", "median", "mean", "stddev", "minimum", "maximum"]
 
 # What step 2 finds out about a group and step 3 still needs.
@@ -50,38 +41,23 @@ def price_profile(
     value: str = "price",
     min_count: int = 1,
     width: float = BUCKET_WIDTH,
-    few_groups: bool | None = None,
 ) -> DataFrame:
     """``keys`` plus ``STATS`` for every group with at least ``min_count`` rows.
 
-    ``few_groups`` says whether the groups are known to be few; None counts them,
-    which runs a small job at once. ``df`` is read up to three times and should be
-    a stored frame. ``width`` trades the places per group against the values per
-    place and does not change the result.
+    ``df`` is read once. ``width`` trades the places per group against the values
+    per place and does not change the result. It suits values in a known range, as
+    prices are: a group has at most (maximum - minimum) / width places. NaN counts
+    as larger than any number.
 
     Rows whose ``value`` is NULL are left out, as aggregates do. A NULL key is a key.
     Without ``keys`` the whole frame is one group, and an empty frame gives no row.
     """
-    if few_groups is None:
-        few_groups = not keys or has_few_groups(df, keys, min_count)
-    rows = _placed(df, keys, value, width)
-    if few_groups:
-        middle = _middle_places(_histogram(rows, value, width), keys, min_count)
-        near = _rows_in(rows, middle).groupBy("place", value)
-        cells = near.agg(F.sum("n").alias("n"), *[F.max(name).alias(name) for name in _FOUND])
-    else:
-        counted = _cells(rows, value)
-        middle = _middle_places(_histogram(counted, value, width), keys, min_count)
-        cells = counted.join(middle, "place")
+    counted = _cells(_placed(df, keys, value, width), value)
+    middle = _middle_places(_histogram(counted, value, width), keys, min_count)
+    cells = counted.join(middle, "place")
     return _read_off(cells, keys, value).select(*keys, *STATS)
 
 
-def has_few_groups(df: DataFrame, keys: Sequence[str], min_count: int = 1) -> bool:
-    """Whether at most ``FEW_GROUPS`` groups have ``min_count`` rows; reads the keys only."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    return sizes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
-
-
 def _placed(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
     # One struct, never NULL: joins on it need no NULL filter, which would make the
     # two sides of the shuffled join differ and keep Spark from sharing their shuffle.
@@ -89,23 +65,6 @@ def _placed(df: DataFrame, keys: Sequence[str], value: str, width: float) -> Dat
     return df.filter(F.col(value).isNotNull()).select(place, value, F.lit(1).alias("n"))
 
 
-def _rows_in(rows: DataFrame, middle: DataFrame) -> DataFrame:
-    """Rows whose place is one of the broadcast places, with what was found for it.
-
-    Every row of the frame is looked up, and Spark looks up one long several times
-    faster than text. So the join key is a hash of the place, and only rows that hit
-    compare the places themselves; as ``array_contains``, because Spark would make an
-    equality part of the key.
-    """
-    keyed = rows.withColumn("hash", F.xxhash64("place"))
-    found = middle.select(
-        F.xxhash64("place").alias("found_hash"), F.col("place").alias("found_place"), *_FOUND
-    )
-    same_place = F.array_contains(F.array("found_place"), F.col("place"))
-    hit = (F.col("hash") == F.col("found_hash")) & same_place
-    return keyed.join(F.broadcast(found), hit)
-
-
 def _cells(rows: DataFrame, value: str) -> DataFrame:
     counted = rows.groupBy("place", value).agg(F.sum("n").alias("n"))
     # Explicit, so that histogram and ranking both find the cells already in place.

@@ -60,6 +60,10 @@ class Lake:
     def stream_silver_table(self) -> str:
         return f"{self.silver_table}_stream"
 
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
+
     def mart(self, name: str) -> str:
         return f"{self.gold_database}.{name}"
 
@@ -72,8 +76,8 @@ class Report:
     checks: dict[str, int] = field(default_factory=dict)
 
 
-def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake) -> int:
-    raw = sources.read_raw_csv(spark, csv_path)
+def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake, **options: str) -> int:
+    raw = sources.read_raw_csv(spark, csv_path, **options)
     stamped = raw.withColumn(spec.INGESTED, F.current_timestamp())
     rows = sinks.overwrite_bronze(stamped, lake.batch_bronze)
     sources.point_table(spark, lake.bronze_table, lake.batch_bronze, stamped.schema)
@@ -87,17 +91,19 @@ def build_silver(spark: SparkSession, lake: Lake) -> int:
     return rows
 
 
-def produce(spark: SparkSession, csv_path: str, lake: Lake) -> dict[str, int]:
+def produce(
+    spark: SparkSession, csv_path: str, lake: Lake, **options: str
+) -> dict[str, int]:
     """Publish accepted and rejected rows in one pass and count both."""
     return sinks.observed(
-        classify(sources.read_raw_csv(spark, csv_path)),
+        classify(sources.read_raw_csv(spark, csv_path, **options)),
         lambda judged: sinks.send_files(sinks.routed_messages(judged), lake.messages),
         produced=F.count_if(F.col(REASON).isNull()),
         failed=F.count_if(F.col(REASON).isNotNull()),
     )
 
 
-def stream_bronze(spark: SparkSession, lake: Lake, timeout: int = 3600) -> None:
+def stream_bronze(spark: SparkSession, lake: Lake, timeout: int | None = None) -> None:
     messages = streaming.read_message_files(spark, lake.topic(spec.TOPIC))
     streaming.drain_to_bronze(
         messages, lake.stream_bronze, lake.bronze_checkpoint, timeout=timeout
@@ -111,6 +117,10 @@ def upsert_silver(spark: SparkSession, lake: Lake) -> int:
     return sinks.upsert_table(listings, lake.stream_silver_table, lake.stream_silver)
 
 
+def _store_gold(df: DataFrame, lake: Lake, name: str) -> DataFrame:
+    return sinks.save_table(df, lake.mart(name), f"{lake.gold}/{name}")
+
+
 def build_gold(silver_rows: DataFrame, lake: Lake, layout: Layout = CSV_LAYOUT) -> dict[str, int]:
     """Staging view, valid set and the four marts as tables, then all checks.
 
@@ -121,28 +131,30 @@ def build_gold(silver_rows: DataFrame, lake: Lake, layout: Layout = CSV_LAYOUT)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.gold_database}")
     stg = staging(silver_rows, layout)
     sinks.publish_view(stg, "stg_listings")
-    valid = sinks.save_table(gold_valid(stg), lake.mart("int_listings_valid"))
+    valid = _store_gold(gold_valid(stg), lake, "int_listings_valid")
 
-    by_make = sinks.save_table(gold.price_by_make(valid), lake.mart("mart_price_by_make"))
-    sinks.save_table(gold.price_by_state(valid), lake.mart("mart_price_by_state"))
-    sinks.save_table(gold.price_by_year(valid, by_make), lake.mart("mart_price_by_year"))
-    sinks.save_table(gold.listings_summary(valid), lake.mart("mart_listings_summary"))
+    by_make = _store_gold(gold.price_by_make(valid), lake, "mart_price_by_make")
+    _store_gold(gold.price_by_state(valid), lake, "mart_price_by_state")
+    _store_gold(gold.price_by_year(valid, by_make), lake, "mart_price_by_year")
+    _store_gold(gold.listings_summary(valid), lake, "mart_listings_summary")
     return enforce(checks(stg, valid))
 
 
-def run_batch(spark: SparkSession, csv_path: str, lake: Lake) -> Report:
-    """CSV to Bronze to Silver to Gold to checks."""
+def run_batch(spark: SparkSession, csv_path: str, lake: Lake, **options: str) -> Report:
+    """CSV to Bronze to Silver to Gold to checks (W1); options are the CSV reader's."""
     report = Report()
-    report.rows["bronze"] = ingest_csv(spark, csv_path, lake)
+    report.rows["bronze"] = ingest_csv(spark, csv_path, lake, **options)
     report.rows["silver"] = build_silver(spark, lake)
     report.checks = build_gold(spark.table(lake.silver_table), lake)
     return report
 
 
-def run_stream(spark: SparkSession, csv_path: str, lake: Lake) -> Report:
-    """Produce, stream to Bronze, upsert Silver, Gold, checks."""
-    report = Report(rows=produce(spark, csv_path, lake))
-    stream_bronze(spark, lake)
+def run_stream(
+    spark: SparkSession, csv_path: str, lake: Lake, timeout: int | None = None, **options: str
+) -> Report:
+    """Produce, stream to Bronze, upsert Silver, Gold, checks (W2); options are the CSV reader's."""
+    report = Report(rows=produce(spark, csv_path, lake, **options))
+    stream_bronze(spark, lake, timeout)
     report.rows["silver"] = upsert_silver(spark, lake)
     report.checks = build_gold(spark.table(lake.stream_silver_table), lake, WIRE_LAYOUT)
     return report

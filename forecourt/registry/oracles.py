@@ -196,6 +196,7 @@ ORACLES: dict[str, str] = {
       select state, median_price from by_state order by median_price desc, state""",
     "upsert_listings": _UPSERTED,
     "upsert_stored": _UPSERTED,
+    "upsert_reopened": _UPSERTED,
     "quality_checks": f"""with {_VALID},
       staged as (select * from silver where manufacturer is not null)
       select 'unique_id' as check_name, count(*) as failures

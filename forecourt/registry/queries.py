@@ -245,6 +245,17 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.load_mart(spark, name)
 
 
+@query
+def upsert_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge finds its target though the catalog has lost the name."""
+    root = scratch.new_dir(spark, "silver")
+    name = f"listings_{uuid.uuid4().hex}"
+    for half in _halves(spark, sf_dir):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        sinks.upsert_table(half, name, root)
+    return sources.load_mart(spark, name)
+
+
 # --- quality -----------------------------------------------------------------
 
 

@@ -6,7 +6,13 @@ from forecourt.sinks.messages import (
     send_files,
     send_kafka,
 )
-from forecourt.sinks.tables import DuplicateKeys, publish_view, save_table, upsert_table
+from forecourt.sinks.tables import (
+    DuplicateKeys,
+    TypeClash,
+    publish_view,
+    save_table,
+    upsert_table,
+)
 
 __all__ = [
     "DuplicateKeys",
@@ -18,6 +24,7 @@ __all__ = [
     "overwrite_silver",
     "publish_view",
     "routed_messages",
+    "TypeClash",
     "save_table",
     "send_files",
     "send_kafka",

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt.operators.upsert import duplicate_keys, unmatched
 from forecourt.sinks.counting import counted
 from forecourt.sources.catalog import point_table, register_location, table_exists
+from forecourt.sources.files import path_exists
+
+PUBLISHED = "snapshot string, at long, schema string"
 
 
 class DuplicateKeys(Exception):
@@ -20,13 +26,56 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    """Full refresh of a managed table; returns the stored table (K8).
+class TypeClash(Exception):
+    """Rows to store have a column whose type differs from what is stored."""
+
+
+def new_snapshot(root: str) -> str:
+    return f"{root.rstrip('/')}/snapshot-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+
+
+def current_snapshot(spark: SparkSession, root: str) -> tuple[str, T.StructType] | None:
+    """The snapshot under ``root`` that was published last, and its schema.
+
+    The data says what is current, not a session's catalog: a new process finds it.
+    """
+    path = f"{root.rstrip('/')}/published"
+    if not path_exists(spark, path):
+        return None
+    newest = spark.read.schema(PUBLISHED).parquet(path).orderBy(F.desc("at"), F.desc("snapshot")).head()
+    return newest and (newest["snapshot"], T.StructType.fromJson(json.loads(newest["schema"])))
+
+
+def publish_snapshot(
+    spark: SparkSession, table: str, root: str, snapshot: str, schema: T.StructType
+) -> None:
+    """Mark a complete snapshot as current, then point the table's name at it."""
+    row = [(snapshot, time.time_ns(), json.dumps(schema.jsonValue()))]
+    marker = spark.createDataFrame(row, PUBLISHED).coalesce(1)
+    marker.write.mode("append").parquet(f"{root.rstrip('/')}/published")
+    point_table(spark, table, snapshot, schema)
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """All columns of both; a column may not change its type."""
+    known = {field.name: field.dataType for field in old}
+    for field in new:
+        if known.get(field.name, field.dataType) != field.dataType:
+            raise TypeClash(f"{field.name}: {known[field.name]} stored, {field.dataType} given")
+    return T.StructType([*old, *(field for field in new if field.name not in known)])
+
 
+def save_table(df: DataFrame, name: str, root: str) -> DataFrame:
+    """Full refresh of a table kept under ``root``; returns the stored table (K8).
+
+    A new snapshot is written, published and pointed at, so a refresh that dies
+    leaves the rows as they were and another process can refresh again.
     Rows are stored without an order: readers sort, since a table keeps none.
     """
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, snapshot = df.sparkSession, new_snapshot(root)
+    df.write.parquet(snapshot)
+    publish_snapshot(spark, name, root, snapshot, df.schema)
+    return spark.read.schema(df.schema).parquet(snapshot)
 
 
 def upsert_table(
@@ -35,8 +84,9 @@ def upsert_table(
     """Merge ``source`` into ``table``, creating it on the first load; counts its rows.
 
     With ``fmt="delta"`` the connector's MERGE does the work in place. Parquet has
-    no MERGE, so a new snapshot directory is filled under ``root`` and the table is
-    pointed at it. The old snapshot stays readable until then and a job that dies
+    no MERGE, so a new snapshot directory is filled under ``root``, published there and
+    the table is pointed at it. The target is what was published last under ``root``,
+    whether or not this session's catalog knows the table. The old snapshot stays readable until then and a job that dies
     half-way leaves the table as it was.
 
     The source is written first, straight into the snapshot. What follows reads
@@ -47,15 +97,18 @@ def upsert_table(
     if fmt == "delta":
         return counted(source, lambda rows: _merge_delta(rows, table, root, key))
 
-    snapshot = f"{root.rstrip('/')}/snapshot-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    old = current_snapshot(spark, root)
+    schema = widened(old[1], source.schema) if old else source.schema
+    snapshot = new_snapshot(root)
     merged = counted(source, lambda rows: rows.write.parquet(snapshot))
     written = spark.read.schema(source.schema).parquet(snapshot)
     if not duplicate_keys(written, key).isEmpty():
         raise DuplicateKeys(f"{key} is not unique in the rows to merge into {table}")
 
-    if table_exists(spark, table):
-        unmatched(spark.table(table), written, key).write.mode("append").parquet(snapshot)
-    point_table(spark, table, snapshot, written.schema)
+    if old:
+        target = spark.read.schema(old[1]).parquet(old[0])
+        unmatched(target, written, key).write.mode("append").parquet(snapshot)
+    publish_snapshot(spark, table, root, snapshot, schema)
     return merged
 
 
@@ -63,11 +116,13 @@ def _merge_delta(source: DataFrame, table: str, root: str, key: str) -> None:
     from delta.tables import DeltaTable  # only with the Delta connector installed
 
     spark = source.sparkSession
-    if not table_exists(spark, table):
+    if not DeltaTable.isDeltaTable(spark, root):
         source.write.format("delta").mode("overwrite").save(root)
         register_location(spark, table, root, "delta")
         return
-    merge = DeltaTable.forName(spark, table).alias("old").merge(
+    if not table_exists(spark, table):
+        register_location(spark, table, root, "delta")
+    merge = DeltaTable.forPath(spark, root).alias("old").merge(
         source.alias("new"), f"old.`{key}` = new.`{key}`"
     )
     merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()

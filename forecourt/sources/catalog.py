@@ -23,7 +23,10 @@ def point_table(spark: SparkSession, table: str, location: str, schema: T.Struct
     that it lacks are added. Only the catalog changes; no data is touched.
     """
     if not table_exists(spark, table):
-        register_location(spark, table, location)
+        database, _, _ = table.rpartition(".")
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
         return
     known = set(spark.table(table).columns)
     new = [field for field in schema if field.name not in known]

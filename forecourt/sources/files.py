@@ -16,10 +16,13 @@ def read_raw_csv(
     ``classify`` take it from here. Column names come from the header. A path that
     does not exist raises ``AnalysisException`` right here (S3).
 
+    A quote inside a quoted field is doubled, and a file whose header orders the
+    columns differently from the others fails instead of being read by position.
     Files stay splittable; pass ``multiLine="true"`` for quoted line breaks, at the
     price of one task per file.
     """
-    reader = spark.read.options(header="true", mode="PERMISSIVE", **options)
+    defaults = {"header": "true", "mode": "PERMISSIVE", "escape": '"', "enforceSchema": "false"}
+    reader = spark.read.options(**{**defaults, **options})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -39,10 +42,13 @@ def read_layer(
     return reader.load(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of the parquet data at ``path``, or None when there is none yet."""
     # Asked of the file system: a read that fails is logged as an error by every
     # listener of the session, also when the failure is expected.
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path).schema if files.exists(location) else None
+    return spark.read.parquet(path).schema if path_exists(spark, path) else None

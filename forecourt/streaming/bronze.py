@@ -85,11 +85,12 @@ def drain_to_bronze(
     path: str,
     checkpoint: str,
     schema: T.StructType = spec.WIRE,
-    timeout: int = 3600,
+    timeout: int | None = None,
 ) -> StreamingQuery:
     """Parse, append and wait; the finished query is returned for its progress (ST1, ST6)."""
     query = start_bronze(parse_messages(raw, schema), path, checkpoint)
-    if not query.awaitTermination(timeout):
+    # without a timeout this returns when the input is drained
+    if query.awaitTermination(timeout) is False:
         query.stop()
         raise StreamTimeout(f"{path}: input not drained after {timeout} s")
     return query

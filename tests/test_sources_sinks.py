@@ -82,10 +82,11 @@ def test_register_and_load(spark, tmp_path):
     assert rows(sources.load_mart(spark, table)) == [("1", 5)]
 
 
-def test_view_and_full_refresh(spark):
+def test_view_and_full_refresh(spark, tmp_path):
     name = f"mart_{uuid.uuid4().hex}"
     for n in (3, 2):
-        assert sinks.save_table(spark.range(n), name).count() == n
+        assert sinks.save_table(spark.range(n), name, str(tmp_path)).count() == n
+        assert spark.table(name).count() == n
     sinks.publish_view(spark.range(4), f"{name}_view")
     assert spark.table(f"{name}_view").count() == 4
 
@@ -94,3 +95,9 @@ def test_scratch_uses_the_shared_folder(spark):
     shared = spark.conf.get(scratch.SETTING)
     one, two = scratch.new_dir(spark, "x"), scratch.new_dir(spark, "x")
     assert one.startswith(f"{shared}/x-") and one != two
+
+
+def test_quoted_text_stays_in_its_column(spark, tmp_path):
+    file = tmp_path / "raw.csv"
+    file.write_text('id,text,state\n1,"he said ""hi"", ok",ca\n')
+    assert rows(sources.read_raw_csv(spark, str(file))) == [("1", 'he said "hi", ok', "ca")]

@@ -89,3 +89,19 @@ def test_ambiguous_source_is_refused_and_changes_nothing(spark, table):
     with pytest.raises(sinks.DuplicateKeys):
         sinks.upsert_table(twice, name, root)
     assert rows(spark.table(name)) == [("1", 1)]
+
+
+def test_target_is_found_without_its_catalog_name(spark, table):
+    name, root = table
+    sinks.upsert_table(frame(spark, {"1": 1, "2": 2}), name, root)
+    spark.sql(f"DROP TABLE {name}")
+    sinks.upsert_table(frame(spark, {"2": 20, "3": 30}), name, root)
+    assert rows(spark.table(name)) == [("1", 1), ("2", 20), ("3", 30)]
+
+
+def test_changed_type_is_refused_and_changes_nothing(spark, table):
+    name, root = table
+    sinks.upsert_table(frame(spark, {"1": 1}), name, root)
+    with pytest.raises(sinks.TypeClash):
+        sinks.upsert_table(spark.createDataFrame([("1", 1.5)], "id string, v double"), name, root)
+    assert rows(spark.table(name)) == [("1", 1)]
