@@ -24,12 +24,14 @@ spark.sparkContext.setLogLevel("OFF")
 UPSERT = START + """
 ids = sys.argv[3].split(",")
 sinks.upsert_table(spark.createDataFrame([(i, 1) for i in ids], "id string, v int"), "t", root + "/t")
-print("GOT", ",".join(sorted(r.id for r in spark.table("t").collect())))
+print("GOT", ",".join(sorted(r.id for r in spark.table("t").collect())), flush=True)
+spark.stop()
 """
 JOB = START + """
 lake = jobs.Lake(root + "/lake")
 report = getattr(jobs, sys.argv[3])(spark, root + "/raw.csv", lake)
-print("GOT", report.rows["silver"], spark.table(lake.mart("mart_listings_summary")).count())
+print("GOT", report.rows["silver"], spark.table(lake.mart("mart_listings_summary")).count(), flush=True)
+spark.stop()
 """
 
 
