@@ -254,10 +254,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
     some = (
         common.texts(docs)
         .filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") < 100_000))
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-        .limit(sample)
+        .withColumn("hash", F.xxhash64("doc_id", "text"))
     )
-    return fit(sorted(r["text"] for r in some.select("text").collect()))
+    some = common.lowest(some, "hash", sample).select("text")
+    return fit(sorted(r["text"] for r in some.collect()))
 
 
 def find(field: Field, texts: list[str]) -> list[tuple[list, list]]:

@@ -246,8 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     chosen, rows = [], []
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     for toxic, n in sorted(totals.items()):
-        some = known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id")
-        ids = [r["doc_id"] for r in some.limit(sample).select("doc_id").collect()]
+        some = known.filter(F.col("toxic") == toxic).withColumn("hash", F.xxhash64("doc_id"))
+        ids = [r["doc_id"] for r in common.lowest(some, "hash", sample).select("doc_id").collect()]
         chosen += [(i, toxic, n / len(ids)) for i in ids]
     if chosen:
         of = {i: (toxic, share) for i, toxic, share in chosen}
