@@ -1,7 +1,8 @@
 """Stupid-backoff scores from n-gram counts over all documents.
 
-Texts are packed into blocks of about BLOCK_BYTES, stored once. Each block's distinct
-n-grams (64-bit hashes, sorted) are sliced by hash and each slice goes to the partition
+Texts are packed into blocks of about BLOCK_BYTES, which move once, to the tasks that will
+score them. The rows of a task are packed in a fixed order, so that a block that has to be
+built again after a loss is the same block. Each block's distinct n-grams (64-bit hashes, sorted) are sliced by hash and each slice goes to the partition
 of the count table that owns its hash range. There the slices merge, counts add up, and
 the totals of a slice go back to its block, where they are joined to the block's exploded
 n-grams and the logarithms are summed per document. A frequent n-gram is one entry per
@@ -29,7 +30,7 @@ from forecourt.llm import common
 ORDER, ALPHA, MIN_COUNT = 3, 0.4, 2
 BLOCK_BYTES = 8 << 20
 PARTITION_BYTES = 4 << 20
-PACKED = "block long, ids array<long>, ends array<long>, data binary, size long, words long"
+PACKED = "block long, ids array<long>, ends array<long>, data binary, size long"
 
 
 PACKER = pa.Codec("zstd", compression_level=9)
@@ -59,6 +60,16 @@ def _word_count(offsets: np.ndarray, data: np.ndarray) -> int:
     return int(starts.sum())
 
 
+def _measure(batches):
+    """Bytes and words of each run of texts."""
+    for batch in batches:
+        offsets, data = common.buffers(batch.column("text"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(data)], pa.int64()), pa.array([_word_count(offsets, data)], pa.int64())],
+            ["size", "words"],
+        )
+
+
 def _pack(batches):
     """Blocks of whole texts."""
     from pyspark import TaskContext
@@ -76,9 +87,8 @@ def _pack(batches):
                     pa.array([(offsets[a + 1 : b + 1] - offsets[a]).tolist()], pa.list_(pa.int64())),
                     pa.array([_press(raw)], pa.binary()),
                     pa.array([len(raw)], pa.int64()),
-                    pa.array([_word_count(offsets[a : b + 1], data[offsets[a] : offsets[b]])]),
                 ],
-                ["block", "ids", "ends", "data", "size", "words"],
+                ["block", "ids", "ends", "data", "size"],
             )
             number += 1
 
@@ -176,31 +186,25 @@ def _merge(rows):
 
 
 def _scores(order: int, all_words: int, alpha: float, least: int):
-    """Rows arrive sorted by (block, kind, n, part): totals first, then the block itself."""
+    """A block meets the totals of its slices."""
 
-    def run(batches):
+    def run(block: pa.Table, totals: pa.Table) -> pa.Table:
+        names = ("n", "part", "entries", "totals")
         held: dict[int, list] = {}
-        for batch in batches:
-            for kind, n, size, totals, ids, ends, data in zip(
-                *(batch.column(x).to_pylist() for x in ("kind", "n", "entries", "totals", "ids", "ends", "data")),
-                strict=True,
-            ):
-                if kind == 0:
-                    held.setdefault(n, []).append(_numbers(totals, size))
-                    continue
-                words = BlockWords(ends, data, size)
-                score = _score(words, held, order, all_words, alpha, least)
-                sums = np.bincount(words.doc, score, len(ids))
-                length = np.diff(words.first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()),
-                        pa.array(length.astype(np.int64)),
-                        pa.array(np.round(sums / np.maximum(length, 1), 6) + 0.0),
-                    ],
-                    ["doc_id", "n_words", "score"],
-                )
-                held = {}
+        # (n, part) is unique within a block, so the packed bytes are never compared
+        for n, _, size, packed in sorted(zip(*(totals.column(x).to_pylist() for x in names), strict=True)):
+            held.setdefault(n, []).append(_numbers(packed, size))
+        ids, ends, data, size = (block.column(x)[0].as_py() for x in ("ids", "ends", "data", "size"))
+        words = BlockWords(ends, data, size)
+        sums = np.bincount(words.doc, _score(words, held, order, all_words, alpha, least), len(ids))
+        length = np.diff(words.first)
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "n_words": pa.array(length.astype(np.int64)),
+                "score": pa.array(np.round(sums / np.maximum(length, 1), 6) + 0.0),
+            }
+        )
 
     return run
 
@@ -229,31 +233,25 @@ def score_documents(
     docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, least: int = MIN_COUNT
 ) -> DataFrame:
     """doc_id, n_words, score of every document."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = common.store(common.texts(docs).mapInArrow(_pack, PACKED), "blocks")
-    sums = blocks.agg(F.sum("size").alias("size"), F.sum("words").alias("words")).head()
-    total, all_words = int(sums["size"] or 0), int(sums["words"] or 0)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = common.texts(docs)
+    sums = rows.mapInArrow(_measure, "size long, words long").agg(F.sum("size"), F.sum("words")).head()
+    total, all_words = int(sums[0] or 0), int(sums[1] or 0)
     bits = max(0, (total // PARTITION_BYTES).bit_length())
-    slices = blocks.mapInArrow(_slices(order, bits), SLICES)
+    scorers = max(parts, total // BLOCK_BYTES)
+    # both uses of the blocks read this one exchange
+    blocks = (
+        rows.sortWithinPartitions(F.xxhash64("text"), "doc_id")
+        .mapInArrow(_pack, PACKED)
+        .repartition(scorers, "block")
+    )
     totals = (
-        slices.repartition(max(parts, 1 << min(bits, 14)), "n", "part")
+        blocks.mapInArrow(_slices(order, bits), SLICES)
+        .repartition(max(parts, 1 << min(bits, 14)), "n", "part")
         .sortWithinPartitions("n", "part", "block")
         .mapInArrow(_totals, "n int, part long, block long, entries long, totals binary")
+        .repartition(scorers, "block")
     )
-    empty = {
-        "totals": "binary", "ids": "array<long>", "ends": "array<long>", "data": "binary", "n": "int", "part": "long",
-    }
-    left = totals.select("block", F.lit(0).alias("kind"), "n", "part", "entries", "totals",
-                         *(F.lit(None).cast(empty[x]).alias(x) for x in ("ids", "ends", "data")))
-    right = blocks.select("block", F.lit(1).alias("kind"), *(F.lit(None).cast(empty[x]).alias(x) for x in ("n", "part")),
-                          F.col("size").alias("entries"), F.lit(None).cast("binary").alias("totals"), "ids", "ends", "data")
-    return (
-        left.unionByName(right)
-        .repartition(max(parts, total // BLOCK_BYTES), "block")
-        .sortWithinPartitions("block", "kind", "n", "part")
-        .mapInArrow(
-            _scores(order, all_words, alpha, least), "doc_id long, n_words long, score double"
-        )
+    return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+        _scores(order, all_words, alpha, least), "doc_id long, n_words long, score double"
     )
-
