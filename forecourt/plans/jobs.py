@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ from forecourt.plans.silver import silver
 from forecourt.spec import CSV_LAYOUT, WIRE_LAYOUT, Layout
 
 
+Send = Callable[[DataFrame], None]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Locations and names of one lake.
@@ -92,19 +96,30 @@ def build_silver(spark: SparkSession, lake: Lake) -> int:
 
 
 def produce(
-    spark: SparkSession, csv_path: str, lake: Lake, **options: str
+    spark: SparkSession, csv_path: str, lake: Lake, send: Send | None = None, **options: str
 ) -> dict[str, int]:
-    """Publish accepted and rejected rows in one pass and count both."""
+    """Publish accepted and rejected rows in one pass and count both.
+
+    ``send`` takes the messages (topic, key, value), for example
+    ``lambda m: sinks.send_kafka(m, servers)``; without one they go to the lake's files.
+    """
+    send = send or (lambda messages: sinks.send_files(messages, lake.messages))
     return sinks.observed(
         classify(sources.read_raw_csv(spark, csv_path, **options)),
-        lambda judged: sinks.send_files(sinks.routed_messages(judged), lake.messages),
+        lambda judged: send(sinks.routed_messages(judged)),
         produced=F.count_if(F.col(REASON).isNull()),
         failed=F.count_if(F.col(REASON).isNotNull()),
     )
 
 
-def stream_bronze(spark: SparkSession, lake: Lake, timeout: int | None = None) -> None:
-    messages = streaming.read_message_files(spark, lake.topic(spec.TOPIC))
+def stream_bronze(
+    spark: SparkSession, lake: Lake, timeout: int | None = None, messages: DataFrame | None = None
+) -> None:
+    """Drain ``messages``, such as ``streaming.read_topic``, or the lake's files, into Bronze."""
+    if messages is None:
+        # a topic that nothing was accepted for has no folder yet
+        sources.make_folder(spark, lake.topic(spec.TOPIC))
+        messages = streaming.read_message_files(spark, lake.topic(spec.TOPIC))
     streaming.drain_to_bronze(
         messages, lake.stream_bronze, lake.bronze_checkpoint, timeout=timeout
     )
@@ -112,8 +127,11 @@ def stream_bronze(spark: SparkSession, lake: Lake, timeout: int | None = None) -
 
 def upsert_silver(spark: SparkSession, lake: Lake) -> int:
     """Clean all of stream Bronze and merge it into Silver; counts the merged rows."""
-    bronze = streaming.usable(sources.read_layer(spark, lake.stream_bronze))
-    listings = silver(bronze, WIRE_LAYOUT)
+    bronze = streaming.parse_messages(spark.createDataFrame([], "value string"))
+    if sources.path_exists(spark, lake.stream_bronze):
+        # its schema is known: a location without a file yet has none to infer
+        bronze = spark.read.schema(bronze.schema).parquet(lake.stream_bronze)
+    listings = silver(streaming.usable(bronze), WIRE_LAYOUT)
     return sinks.upsert_table(listings, lake.stream_silver_table, lake.stream_silver)
 
 
@@ -150,11 +168,20 @@ def run_batch(spark: SparkSession, csv_path: str, lake: Lake, **options: str) ->
 
 
 def run_stream(
-    spark: SparkSession, csv_path: str, lake: Lake, timeout: int | None = None, **options: str
+    spark: SparkSession,
+    csv_path: str,
+    lake: Lake,
+    timeout: int | None = None,
+    send: Send | None = None,
+    messages: DataFrame | None = None,
+    **options: str,
 ) -> Report:
-    """Produce, stream to Bronze, upsert Silver, Gold, checks (W2); options are the CSV reader's."""
-    report = Report(rows=produce(spark, csv_path, lake, **options))
-    stream_bronze(spark, lake, timeout)
+    """Produce, stream to Bronze, upsert Silver, Gold, checks (W2); options are the CSV reader's.
+
+    ``send`` and ``messages`` are the two ends of a broker; without them files stand in.
+    """
+    report = Report(rows=produce(spark, csv_path, lake, send, **options))
+    stream_bronze(spark, lake, timeout, messages)
     report.rows["silver"] = upsert_silver(spark, lake)
     report.checks = build_gold(spark.table(lake.stream_silver_table), lake, WIRE_LAYOUT)
     return report

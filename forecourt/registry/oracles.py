@@ -231,6 +231,12 @@ ORACLES: dict[str, str] = {
       select id, manufacturer, model, year, price, cast(trunc(odometer) as integer) as odometer,
         state, condition
       from raw""",
+    "csv_quoted": """
+      select cast(p_partkey as bigint) as id,
+        '"' || p_name || '", ' || p_brand || chr(10) || p_name as text, p_brand as brand
+      from part""",
+    "stage_counts": f"""with {_chain(order=_CSV_TIES)}
+      select (select count(*) from raw) as bronze, (select count(*) from silver) as silver""",
     "bronze_append": """
       select o_orderkey as id, o_totalprice as price, null::varchar as condition from orders
       union all select c_custkey, c_acctbal, c_mktsegment from customer""",

@@ -232,7 +232,11 @@ def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def upsert_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1, J1 as one relational expression."""
-    return upsert(*_halves(spark, sf_dir))
+    old, new = _halves(spark, sf_dir)
+    # the source is used twice, for its keys and its rows
+    path = scratch.new_dir(spark, "source")
+    new.write.parquet(path)
+    return upsert(old, spark.read.schema(new.schema).parquet(path))
 
 
 @query
@@ -262,7 +266,9 @@ def upsert_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1-Q6 over Silver: everything passes."""
-    rows = silver(adapter.listings(spark, sf_dir), tiebreak=TIEBREAK)
+    path = scratch.new_dir(spark, "silver")
+    silver(adapter.listings(spark, sf_dir), tiebreak=TIEBREAK).write.parquet(path)
+    rows = sources.read_layer(spark, path)
     return checks(staging(rows), gold_input(rows))
 
 
@@ -367,6 +373,30 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes, commas and line breaks inside a field stay in it."""
+    path = scratch.new_dir(spark, "quoted")
+    text = F.concat(F.lit('"'), "p_name", F.lit('", '), "p_brand", F.lit("\n"), "p_name")
+    parts = adapter.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), text.alias("text"), F.col("p_brand").alias("brand")
+    )
+    parts.write.options(header="true", escape='"').csv(path)
+    return sources.read_raw_csv(spark, path, multiLine="true").withColumn(
+        "id", F.col("id").cast("long")
+    )
+
+
+@query
+def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the Bronze and Silver writes counted on the way."""
+    lake = _lake(spark, "counted")
+    bronze = jobs.ingest_csv(spark, _csv(spark, sf_dir), lake)
+    return spark.createDataFrame(
+        [(bronze, jobs.build_silver(spark, lake))], "bronze long, silver long"
+    )
+
+
 @query
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: two appends, the second with one more column, read as their union."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt.sinks.counting import counted
 from forecourt.sources.files import existing_schema
@@ -15,20 +16,30 @@ def overwrite_bronze(df: DataFrame, path: str) -> int:
     A column that would change its type is refused, as it would make older copies
     of the layer unreadable together with this one. ``df`` must not read ``path``.
     """
-    before = existing_schema(df.sparkSession, path)
-    for field in before.fields if before else []:
+    for field in _stored(df, path):
         if field.name not in df.columns:
             df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
-        elif df.schema[field.name].dataType != field.dataType:
+    return _overwrite(df, path)
+
+
+def _stored(df: DataFrame, path: str) -> list[T.StructField]:
+    """The columns at ``path``, none of which may have another type in ``df``."""
+    before = existing_schema(df.sparkSession, path) or T.StructType()
+    for field in before:
+        if field.name in df.columns and df.schema[field.name].dataType != field.dataType:
             raise ValueError(
                 f"column {field.name}: {field.dataType.simpleString()} is stored, "
                 f"{df.schema[field.name].dataType.simpleString()} was given"
             )
-    return _overwrite(df, path)
+    return before.fields
 
 
 def append_bronze(df: DataFrame, path: str) -> int:
-    """Add rows, possibly with new columns; read back with ``merge_schema`` (K2)."""
+    """Add rows, possibly with new columns; read back with ``merge_schema`` (K2).
+
+    A column that would change its type is refused before anything is written.
+    """
+    _stored(df, path)
     return counted(df, lambda rows: rows.write.mode("append").parquet(path))
 
 

@@ -1,9 +1,17 @@
 from forecourt.sources.catalog import load_mart, point_table, register_location, table_exists
-from forecourt.sources.files import existing_schema, read_layer, read_raw_csv
+from forecourt.sources.files import (
+    existing_schema,
+    make_folder,
+    path_exists,
+    read_layer,
+    read_raw_csv,
+)
 
 __all__ = [
     "existing_schema",
     "load_mart",
+    "make_folder",
+    "path_exists",
     "point_table",
     "read_layer",
     "read_raw_csv",

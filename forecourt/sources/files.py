@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -47,8 +48,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(location)
+
+
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema of the parquet data at ``path``, or None when there is none yet."""
+    """All columns of the parquet data at ``path``, or None when there is none yet.
+
+    Appends may have added columns, so every footer counts, not that of one file.
+    """
     # Asked of the file system: a read that fails is logged as an error by every
     # listener of the session, also when the failure is expected.
-    return spark.read.parquet(path).schema if path_exists(spark, path) else None
+    if not path_exists(spark, path):
+        return None
+    try:
+        return read_layer(spark, path, merge_schema=True).schema
+    except AnalysisException as problem:
+        # a folder that a first write left without a file
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise

@@ -153,3 +153,28 @@ def test_ties_for_the_largest_makes_go_by_name(spark):
 def test_summary_of_nothing(spark):
     empty = spark.createDataFrame([], "make string, state string, year int, price double")
     assert tuple(gold.listings_summary(empty).first()) == (0, 0, 0, None, None, None, None)
+
+
+def test_stream_job_with_nothing_accepted(spark, lake, tmp_path):
+    path = tmp_path / "rejected.csv"
+    path.write_text(",".join(HEADER) + "\nfree,http,ford,m,2001,0,5000,ca,\n")
+    report = jobs.run_stream(spark, str(path), lake)
+    assert report.rows == {"produced": 0, "failed": 1, "silver": 0}
+    assert spark.table(lake.mart("mart_price_by_make")).count() == 0
+
+
+def test_stream_job_with_ends_of_its_own(spark, csv_file, lake, tmp_path):
+    """A sender and a reader take the place of the files, keys included."""
+    sent = str(tmp_path / "broker")
+    spark.createDataFrame([], "topic string, key string, value string").write.parquet(sent)
+    messages = spark.readStream.schema("topic string, key string, value string").parquet(sent)
+    report = jobs.run_stream(
+        spark,
+        csv_file,
+        lake,
+        send=lambda m: m.write.mode("append").parquet(sent),
+        messages=messages.filter(f"topic = '{spec.TOPIC}'"),
+    )
+    assert report.rows["silver"] == 131
+    keys = spark.read.parquet(sent).filter("topic like '%' and key is not null")
+    assert keys.count() == report.rows["produced"] + report.rows["failed"]

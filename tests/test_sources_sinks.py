@@ -101,3 +101,33 @@ def test_quoted_text_stays_in_its_column(spark, tmp_path):
     file = tmp_path / "raw.csv"
     file.write_text('id,text,state\n1,"he said ""hi"", ok",ca\n')
     assert rows(sources.read_raw_csv(spark, str(file))) == [("1", 'he said "hi", ok', "ca")]
+
+
+def test_files_with_columns_in_another_order_fail(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("id,state\n1,ca\n")
+    (tmp_path / "raw" / "b.csv").write_text("state,id\nca,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        sources.read_raw_csv(spark, str(tmp_path / "raw")).collect()
+
+
+def test_append_refuses_another_type(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    sinks.append_bronze(spark.createDataFrame([("1", 5)], "id string, a int"), path)
+    with pytest.raises(ValueError, match="column a"):
+        sinks.append_bronze(spark.createDataFrame([("2", 5.0)], "id string, a double"), path)
+    assert rows(sources.read_layer(spark, path, merge_schema=True)) == [("1", 5)]
+
+
+def test_overwrite_keeps_a_column_that_only_one_append_had(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    sinks.append_bronze(spark.range(8).selectExpr("string(id) as id").repartition(4), path)
+    sinks.append_bronze(spark.createDataFrame([("9", "x")], "id string, b string"), path)
+    sinks.overwrite_bronze(spark.createDataFrame([("1",)], "id string"), path)
+    assert sources.existing_schema(spark, path).fieldNames() == ["id", "b"]
+
+
+def test_overwrite_of_an_empty_folder(spark, tmp_path):
+    path = tmp_path / "bronze"
+    path.mkdir()
+    assert sinks.overwrite_bronze(spark.createDataFrame([("1",)], "id string"), str(path)) == 1
