@@ -1,13 +1,19 @@
 """Main text of web pages by equivalence-class template deduction.
 
 A page is a sequence of tokens: tags, named by their path, and text blocks, named by path
-and content. A token's occurrence vector over the distinct pages of a host is kept as a
-sum of hashes of (page, times it occurs), pre-aggregated before it moves, so a host with
-a third of all pages is a few thousand small rows. Tokens of a host with equal vectors
-form an equivalence class. A class is valid if it spans MIN_PAGES distinct pages and holds
-a tag; it nests in the class of the path above its topmost tag. The valid classes are the
-host's template: its text blocks are boilerplate, whatever is left between its tags are
-slots. Of the slots those of the article are kept: within article or main tags, or marked
+and content. Paths hold tag names and the words of classes, no ids and no numbers. Pages of
+a host with equal article text are one distinct page. A token's occurrence vector over the
+distinct pages of a host is kept as a sum of hashes of (page, times it occurs),
+pre-aggregated before it moves, so a host with a third of all pages is a few thousand small
+rows. Tokens of a host with equal vectors form an equivalence class. A class is valid if it
+spans MIN_PAGES distinct pages and more than half of the host's, and holds a tag; it nests
+in the class of the path above its topmost tag. The valid classes are the host's template:
+whatever is left between its tags are slots. Text blocks of a valid class are boilerplate,
+unless the pages are near copies: blocks on no more pages than the class, but on more than
+half as many, are then more than half of the article blocks of a page on average, and
+all text of the class stays. So near copies lose text only where they are most of a host's
+distinct pages and yet have half or less of their blocks in common; boilerplate of a section
+with half or less of a host's pages stays in the text. Of the slots those of the article are kept: within article or main tags, or marked
 so by id or class, where a page has such; never within menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments.
 
@@ -32,6 +38,7 @@ from pyspark.sql import functions as F
 from forecourt.llm import common
 
 MIN_PAGES = 3
+EVERY = 0
 PIECE = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$)"
@@ -109,7 +116,8 @@ class Page:
             article = 3 if name == "article" or role == "article" or found.get("itemprop") else max(article, 2)
         elif name in ("div", "section", "td") and not ARTICLE_WORD.isdisjoint(words):
             article = max(article, 1)
-        label = name if not words else f"{name}.{'.'.join(words)}"
+        named = [x for x in WORD.findall(found.get("class", "").lower()) if not x.isdigit()]
+        label = ".".join([name, *named])
         path = f"{path}/{label}" if name in BLOCK else path
         if name in BLOCK:
             self.tags[path] = self.tags.get(path, 0) + 1
@@ -172,29 +180,42 @@ class Page:
             self._open(name, marks)
 
 
+def _article(blocks) -> list[tuple[str, str]]:
+    """(path, text) of the blocks outside page furniture that most surely are the article."""
+    best = max((a for _, _, chrome, a in blocks if not chrome), default=0)
+    return [(path, text) for path, text, chrome, a in blocks if not chrome and a == best]
+
+
 def _token(*parts) -> int:
     own = hashlib.blake2b("\x00".join(parts).encode(), digest_size=8).digest()
     return int(np.frombuffer(own, np.int64)[0])
 
 
 def _tokens(batches):
-    """(host, token, parent, is_tag, page, times): page is a hash of all its tokens."""
+    """(host, token, parent, is_tag, page, times, share): page is a hash of its article text.
+
+    share is a text's part of the article blocks of its page, in millionths. EVERY is a
+    token of all pages.
+    """
     for batch in batches:
         out = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source)
-            mark = _token(*(f"{a}\x01{b}" for a, b, _, _ in page.blocks), *page.tags)
+            article = _article(page.blocks)
+            mark = _token(*(text for _, text in article))
+            out.append((host, EVERY, EVERY, False, mark, 1, 0))
             for path, n in page.tags.items():
-                out.append((host, _token(path), _token(path.rpartition("/")[0]), True, mark, n))
-            times: dict[int, int] = {}
+                out.append((host, _token(path), _token(path.rpartition("/")[0]), True, mark, n, 0))
+            times: dict[tuple[int, int], list[int]] = {}
             for path, text, _, _ in page.blocks:
-                own = (_token(path, text), _token(path))
-                times[own] = times.get(own, 0) + 1
-            out += [(host, a, b, False, mark, n) for (a, b), n in times.items()]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32()]
+                times.setdefault((_token(path, text), _token(path)), [0, 0])[0] += 1
+            for path, text in article:
+                times[_token(path, text), _token(path)][1] += 1
+            out += [(host, a, b, False, mark, n, 1_000_000 * m // max(len(article), 1)) for (a, b), (n, m) in times.items()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, k) for x, k in zip(list(zip(*out, strict=True)) or [[]] * 6, kinds, strict=True)],
-            ["host", "token", "parent", "is_tag", "page", "times"],
+            [pa.array(x, k) for x, k in zip(list(zip(*out, strict=True)) or [[]] * 7, kinds, strict=True)],
+            ["host", "token", "parent", "is_tag", "page", "times", "share"],
         )
 
 
@@ -211,32 +232,53 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, class, parent_class, n_pages, is_tag, token): the valid classes of every host."""
+    """(host, class, parent_class, n_pages, is_tag, copied, token): the valid classes of every host."""
     tokens = _pages(pages).mapInArrow(
-        _tokens, "host string, token long, parent long, is_tag boolean, page long, times int"
+        _tokens,
+        "host string, token long, parent long, is_tag boolean, page long, times int, share long",
     )
     vectors = (
         tokens.groupBy("host", "token", "parent", "is_tag", "page")
-        .agg(F.max("times").alias("times"))
+        .agg(F.max("times").alias("times"), F.max("share").alias("share"))
         .groupBy("host", "token", "parent", "is_tag")
         .agg(
             F.sum(F.xxhash64("page", "times").cast("decimal(20,0)")).alias("vector"),
             F.count("*").alias("n_pages"),
+            F.sum("share").alias("share"),
         )
         .filter(F.col("n_pages") >= min_pages)
         .withColumn("class", F.xxhash64(F.col("vector"), "n_pages"))
     )
     vectors = common.store(vectors.drop("vector"), "vectors")
-    valid = vectors.groupBy("host", "class").agg(
-        F.max("is_tag").alias("valid"),
-        F.min(F.when(F.col("is_tag"), F.col("parent"))).alias("above"),
-    ).filter("valid")
+    every = (F.col("token") == EVERY) & (F.col("parent") == EVERY)
+    hosts = vectors.filter(every).select("host", F.col("n_pages").alias("n_host"))
+    vectors = vectors.filter(~every)
+    valid = (
+        vectors.groupBy("host", "class")
+        .agg(
+            F.max("is_tag").alias("valid"),
+            F.min(F.when(F.col("is_tag"), F.col("parent"))).alias("above"),
+            F.max("n_pages").alias("n"),
+        )
+        .filter("valid")
+        .join(hosts, "host")
+        .filter("2 * n > n_host")
+    )
+    # how much of an article the blocks make up that are about as frequent as a class
+    shares = vectors.filter("share > 0").groupBy("host", "n_pages").agg(F.sum("share").alias("share"))
+    copied = (
+        valid.select("host", "n").distinct().join(shares, "host")
+        .filter("n_pages <= n and 2 * n_pages > n")
+        .groupBy("host", "n")
+        .agg((F.sum("share") > 500_000 * F.col("n")).alias("copied"))
+    )
+    valid = valid.join(copied, ["host", "n"], "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
     paths = vectors.filter("is_tag").select(
         "host", F.col("token").alias("above"), F.col("class").alias("parent_class")
     )
-    nested = valid.join(paths, ["host", "above"], "left").select("host", "class", "parent_class")
+    nested = valid.join(paths, ["host", "above"], "left").select("host", "class", "parent_class", "copied")
     return vectors.join(nested, ["host", "class"]).select(
-        "host", "class", "parent_class", "n_pages", "is_tag", "token"
+        "host", "class", "parent_class", "n_pages", "is_tag", "copied", "token"
     )
 
 
@@ -245,13 +287,8 @@ def _slots(batches):
         texts = []
         for source, fixed in zip(batch.column("html").to_pylist(), batch.column("fixed").to_pylist(), strict=True):
             known = set(fixed or ())
-            slots = [
-                (text, article)
-                for path, text, chrome, article in Page(source).blocks
-                if not chrome and not (known and _token(path, text) in known)
-            ]
-            best = max((a for _, a in slots), default=0)
-            texts.append("\n\n".join(text for text, a in slots if a == best))
+            slots = [x for x in Page(source).blocks if not (known and _token(*x[:2]) in known)]
+            texts.append("\n\n".join(text for _, text in _article(slots)))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -266,7 +303,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = _pages(pages)
     fixed = (
         templates(pages)
-        .filter("not is_tag")
+        .filter("not is_tag and not copied")
         .groupBy("host")
         .agg(F.collect_set("token").alias("fixed"))
     )

@@ -146,6 +146,35 @@ def test_repeated_blocks_are_template(spark):
     assert sorted(r.text for r in got.collect()) == [f"Own {i}" for i in range(5)]
 
 
+def test_copies_of_an_article_keep_their_text(spark):
+    def copies(host, n, label="", change=False):
+        own = [f"<p>Part {k} of the story on {host}</p>" for k in range(4)]
+        for i in range(n):
+            last = f"<p>Edited {i}</p>" if change else ""
+            yield f"http://{host}/c{i}", (
+                f"<body><div class=ad>ad {i}</div><main><p class=a>Always here</p><article {label}><h1>Title</h1>"
+                f"<table><td>Cell</table>{''.join(own)}{last}</article></main>"
+            )
+
+    def others(host, n):
+        for i in range(n):
+            yield f"http://{host}/o{i}", f"<body><main><p class=a>Always here</p><article id=post-{i}><h1>T {i}</h1><p>Own {i}</article></main>"
+
+    story = [f"Part {k} of the story on %s" for k in range(4)]
+    rows = [
+        *copies("ids", 4, "id=post-1234 class=post-1234"), *others("ids", 6),
+        *copies("only", 3), *copies("edited", 5, change=True), *copies("most", 5, change=True), *others("most", 2),
+    ]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "page_id long, url string, html string")
+    for r in template.main_text(docs).collect():
+        host, own = r.url.split("/")[2:]
+        if own[0] == "o":
+            assert r.text == f"T {own[1:]}\n\nOwn {own[1:]}"
+            continue
+        last = [f"Edited {own[1:]}"] if host in ("edited", "most") else []
+        assert r.text.split("\n\n") == ["Title", "Cell", *(x % host for x in story), *last]
+
+
 def test_backoff(spark):
     docs = frame(spark, ["a b c", "a b d", "b c", None])
     got = {r.doc_id: (r.n_words, r.score) for r in backoff.score_documents(docs).collect()}
