@@ -9,15 +9,21 @@ path. A bucket of at most SMALL sets is compared by brute force on the sampled t
 larger one first meets a pivot: sets near the pivot are linked to it and leave, those
 between near and far are linked to it and stay with the far ones, and what stays is split
 again on the next sampled token. By the triangle inequality of the Jaccard distance no
-partner of a set that left stays behind unlinked. Splitting goes on until nothing is left,
-and RUNS independent runs bring the recall of a pair of similarity s to
-1 - (1 - s ** depth) ** RUNS: over 0.9999 for s = 0.8 and depth 2.
+partner of a set that left stays behind unlinked. Splitting goes on until nothing is left.
+A round of RUNS runs shares its SIGNS samples and misses a pair of similarity s, whose
+buckets end after depth samples, with the mean of (1 - m ** depth) ** RUNS over the share m
+of samples that agree: 0.00004 for s = 0.8 and depth 2, 0.006 for depth 4. The depth grows
+with the buckets, so the deepest one of each class is noted, and a class takes part in
+further rounds with fresh samples until that chance is at most MISS at its depth. The
+shallower one of a pair decides how many rounds the pair needs, and both take part in those.
 
 Linked classes form candidate groups, and here the comparison becomes exact: shingle sets
 of the group's members travel once and are intersected block against block, at most BLOCK
 members a block, so a group of any size is many bounded tasks. Links are counted there,
 never listed; what leaves a block is a spanning forest.
 
+A class is known by its shingles, not by a doc_id: texts that share a doc_id are told apart.
+
 Result: one row per document with the number of documents it is linked to (copies
 included) and its class: the smallest doc_id reachable by links. Texts without words,
 null among them, link with nothing. Rows without a doc_id are reported with no links and
@@ -27,6 +33,8 @@ no class. Repeated rows count as documents of their own.
 from __future__ import annotations
 
 import hashlib
+import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -39,9 +47,21 @@ from forecourt.llm.components import components, forest
 
 WORDS, SIGNS, RUNS, SMALL, BLOCK = 5, 64, 12, 512, 2048
 NEAR, FAR, CANDIDATE = 0.5, 0.2, 0.55
-_RANDOM = np.random.default_rng(77)
-FACTOR = _RANDOM.integers(1, 2**63, SIGNS, dtype=np.uint64) | np.uint64(1)
-SHIFT = _RANDOM.integers(1, 2**63, SIGNS, dtype=np.uint64)
+SIMILAR, MISS = 0.8, 1e-4
+KEY = ["doc_id", "a", "b", "size"]
+
+
+def missed(depth: int, runs: int = RUNS) -> float:
+    """Chance that a round misses a pair of similarity SIMILAR whose buckets end at depth."""
+    return sum(
+        math.comb(SIGNS, k) * SIMILAR**k * (1 - SIMILAR) ** (SIGNS - k) * (1 - (k / SIGNS) ** depth) ** runs
+        for k in range(SIGNS + 1)
+    )
+
+
+def rounds_for(depth: int, runs: int = RUNS) -> int:
+    """Rounds, each with its own samples, after which at most MISS of such pairs are missed."""
+    return math.ceil(math.log(MISS) / math.log(missed(depth, runs)))
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS):
@@ -69,42 +89,54 @@ def shingle_sets(column: pa.Array, words: int = WORDS):
         yield hashes, np.searchsorted(doc, np.arange(b - a + 1))
 
 
-def _signs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """SIGNS minimum hashes (32 bits) of each set that is not empty."""
+def _signs(hashes: np.ndarray, first: np.ndarray, number: int) -> np.ndarray:
+    """SIGNS minimum hashes (32 bits) of each set that is not empty, others in each round."""
+    random = np.random.default_rng(77 + number)
+    factor = random.integers(1, 2**63, SIGNS, dtype=np.uint64) | np.uint64(1)
+    shift = random.integers(1, 2**63, SIGNS, dtype=np.uint64)
     out = np.empty((len(first) - 1, SIGNS), np.uint32)
     for k in range(SIGNS):
-        value = ((hashes * FACTOR[k] + SHIFT[k]) >> np.uint64(32)).astype(np.uint32)
+        value = ((hashes * factor[k] + shift[k]) >> np.uint64(32)).astype(np.uint32)
         out[:, k] = np.minimum.reduceat(value, first[:-1])
     return out
 
 
-def _sketch(batches):
+def _digests(hashes: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """The columns a, b and size of each set; a and b are 0 for an empty one."""
+    raw = hashes.tobytes()
+    digests = np.zeros((len(first) - 1, 2), np.int64)
+    for i in np.flatnonzero(np.diff(first)).tolist():
+        own = hashlib.blake2b(raw[8 * first[i] : 8 * first[i + 1]], digest_size=16)
+        digests[i] = np.frombuffer(own.digest(), np.int64)
+    a, b = (pa.array(np.ascontiguousarray(x)) for x in digests.T)
+    return [a, b, pa.array(np.diff(first).astype(np.int64))]
+
+
+def _sketch_of(batches, number: int):
     for batch in batches:
         at = 0
+        names = [x for x in batch.schema.names if x != "text"]
         for hashes, first in shingle_sets(batch.column("text")):
             n = len(first) - 1
             full = np.flatnonzero(np.diff(first))
             signs = np.zeros((n, SIGNS), np.uint32)
             if len(full):
-                signs[full] = _signs(hashes, np.append(first[:-1][full], len(hashes)))
-            raw = hashes.tobytes()
-            digests = np.zeros((n, 2), np.int64)
-            for i in full.tolist():
-                own = hashlib.blake2b(raw[8 * first[i] : 8 * first[i + 1]], digest_size=16)
-                digests[i] = np.frombuffer(own.digest(), np.int64)
+                signs[full] = _signs(hashes, np.append(first[:-1][full], len(hashes)), number)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(at, n),
-                    pa.array(np.ascontiguousarray(digests[:, 0])),
-                    pa.array(np.ascontiguousarray(digests[:, 1])),
-                    pa.array(np.diff(first).astype(np.int64)),
+                    *(batch.column(x).slice(at, n) for x in names),
+                    *_digests(hashes, first),
                     pa.array([x.tobytes() for x in signs], pa.binary()),
                 ],
-                ["doc_id", "a", "b", "size", "signs"],
+                [*names, "a", "b", "size", "signs"],
             )
             at += n
 
 
+def _sketch(batches):
+    return _sketch_of(batches, 0)
+
+
 def _similar(one: np.ndarray, all_: np.ndarray) -> np.ndarray:
     return (all_ == one).mean(1)
 
@@ -170,9 +202,37 @@ def _sign(k, signs="signs"):
     return F.substring(F.col(signs), F.lit(1) + 4 * k, F.lit(4))
 
 
-def candidate_links(classes: DataFrame, runs: int = RUNS, small: int = SMALL) -> DataFrame:
-    """(u, v) links between classes (id, signs) that connect every pair likely to be similar."""
-    depth, found = 0, []
+def candidate_links(
+    classes: DataFrame,
+    runs: int = RUNS,
+    small: int = SMALL,
+    fresh: Callable[[DataFrame, int], DataFrame] | None = None,
+) -> DataFrame:
+    """(u, v) links between classes (id, signs) that connect every pair likely to be similar.
+
+    fresh(ids, round) gives (id, signs) with the samples of a further round; without it
+    there is one round, whatever the depth.
+    """
+    out, depths = _round(classes, runs, small)
+    done = 1
+    while fresh is not None:
+        again = [ids for depth, ids in depths if rounds_for(depth, runs) > done]
+        if not again:
+            break
+        ids = again[0]
+        for more in again[1:]:
+            ids = ids.unionByName(more)
+        if ids.isEmpty():
+            break
+        signs = common.store(fresh(ids.distinct(), done), "fresh")
+        links, found = _round(signs, runs, small)
+        out, depths, done = out.unionByName(links), depths + found, done + 1
+    return out
+
+
+def _round(classes: DataFrame, runs: int, small: int):
+    """Links of one round, and (depth, ids dealt by that many samples) from depth 2 on."""
+    depth, found, depths = 0, [], []
     rows = classes.select(
         "id", "signs", F.explode(F.array(*[F.lit(r) for r in range(runs)])).alias("run")
     ).withColumn("bucket", F.col("run").cast("long"))
@@ -222,10 +282,11 @@ def candidate_links(classes: DataFrame, runs: int = RUNS, small: int = SMALL) ->
             "id", "signs", "run", "bucket"
         )
         depth += 1
+        depths.append((depth + 1, rows.select("id")))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, depths
 
 
 def _links(sets: list[np.ndarray], other: list[np.ndarray], same: bool):
@@ -315,28 +376,58 @@ def _hash_sets(batches):
         for hashes, first in shingle_sets(batch.column("text")):
             n, raw = len(first) - 1, hashes.tobytes()
             sets = [raw[8 * a : 8 * b] for a, b in zip(first[:-1], first[1:], strict=True)]
-            names = [x for x in batch.schema.names if x != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x).slice(at, n) for x in names), pa.array(sets, pa.binary())],
-                [*names, "hashes"],
+                [batch.column("doc_id").slice(at, n), *_digests(hashes, first), pa.array(sets, pa.binary())],
+                [*KEY, "hashes"],
             )
             at += n
 
 
 def similarity_join(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links for every document."""
-    spark = docs.sparkSession
-    rows = common.texts(docs)
+    return _joined(common.texts(docs)).drop("group_id")
+
+
+def linked_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text_sha256, group_id, class_id, n_links; group_id is null for what has no class.
+
+    Texts that share a doc_id can be the smallest of two groups, so only group_id names one.
+    """
+    return _joined(common.texts(docs).withColumn("text_sha256", F.sha2("text", 256)))
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
+    names = [x for x in rows.columns if x != "text"]
+    kinds = ", ".join(f"{x} {dict(rows.dtypes)[x]}" for x in names)
     sketches = common.store(
-        rows.mapInArrow(_sketch, "doc_id long, a long, b long, size long, signs binary"), "sketches"
+        rows.mapInArrow(_sketch, f"{kinds}, a long, b long, size long, signs binary"), "sketches"
     )
+    # doc_id is that of one text of the class; id names the class
     classes = common.store(
         sketches.filter("size > 0 and doc_id is not null")
         .groupBy("a", "b", "size")
-        .agg(F.min("doc_id").alias("id"), F.count("*").alias("weight"), F.any_value("signs").alias("signs")),
+        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("weight"), F.any_value("signs").alias("signs"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    links = common.store(candidate_links(classes.select("id", "signs")), "candidates")
+    texts = rows.select("doc_id", "text")
+
+    def fresh(ids: DataFrame, number: int) -> DataFrame:
+        own = classes.join(ids, "id", "left_semi").select(*KEY, "id")
+
+        def sketch(batches):
+            return _sketch_of(batches, number)
+
+        return (
+            texts.join(own, "doc_id", "left_semi")
+            .mapInArrow(sketch, "doc_id long, a long, b long, size long, signs binary")
+            .join(own, KEY)
+            .select("id", "signs")
+            .dropDuplicates(["id"])
+        )
+
+    links = common.store(candidate_links(classes.select("id", "signs"), fresh=fresh), "candidates")
     groups = common.store(
         components(links).select(F.col("vertex").alias("id"), F.col("component").alias("comp")),
         "groups",
@@ -347,45 +438,55 @@ def similarity_join(docs: DataFrame) -> DataFrame:
         groups.join(size, "comp")
         .withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
         .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .join(classes.select("id", "weight"), "id")
+        .join(classes.select(*KEY, "id", "weight"), "id")
     )
     pairs = blocks.select(
-        F.col("id").alias("doc_id"), "comp", "weight", "side",
+        *KEY, "id", "comp", "weight", "side",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
-        "doc_id", "comp", "weight", "side",
+        *KEY, "id", "comp", "weight", "side",
         F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
     )
-    own = blocks.select(F.col("id").alias("doc_id"))
     sets = (
-        rows.join(own, "doc_id", "left_semi")
-        .mapInArrow(_hash_sets, "doc_id long, hashes binary")
-        .dropDuplicates(["doc_id"])
+        texts.join(blocks.select("doc_id"), "doc_id", "left_semi")
+        .mapInArrow(_hash_sets, "doc_id long, a long, b long, size long, hashes binary")
+        .dropDuplicates(KEY)
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     verified = common.store(
-        pairs.join(sets, "doc_id")
-        .withColumnRenamed("doc_id", "id")
+        pairs.join(sets, KEY)
+        .drop(*KEY)
         .repartition(parts, "comp", "i", "j")
         .sortWithinPartitions("comp", "i", "j", "id")
         .mapInPandas(_verify, "id long, n long, root long"),
         "verified",
     )
     counts = verified.groupBy("id").agg(F.sum("n").alias("n"))
-    final = components(verified.filter("root >= 0").select(F.col("id").alias("u"), F.col("root").alias("v")))
+    final = common.store(
+        components(verified.filter("root >= 0").select(F.col("id").alias("u"), F.col("root").alias("v")))
+        .select(F.col("vertex").alias("id"), "component"),
+        "linked",
+    )
+    least = (
+        final.join(classes.select("id", "doc_id"), "id")
+        .groupBy("component")
+        .agg(F.min("doc_id").alias("class_id"))
+    )
     named = (
-        classes.select("a", "b", "size", "id", "weight")
+        classes.select(*KEY, "id", "weight")
         .join(counts, "id", "left")
-        .join(final.withColumnRenamed("vertex", "id"), "id", "left")
+        .join(final.join(least, "component"), "id", "left")
         .select(
             "a", "b", "size",
-            F.coalesce("component", "id").alias("class_id"),
+            F.coalesce("component", "id").alias("group_id"),
+            F.coalesce("class_id", "doc_id").alias("class_id"),
             (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         )
     )
-    has = F.col("size") > 0
-    return sketches.select("doc_id", "a", "b", "size").join(named, ["a", "b", "size"], "left").select(
-        "doc_id",
-        F.when(has & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.when(has & F.col("doc_id").isNotNull(), F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
+    has = (F.col("size") > 0) & F.col("doc_id").isNotNull()
+    return sketches.select(*names, "a", "b", "size").join(named, ["a", "b", "size"], "left").select(
+        *names,
+        F.when(has, F.col("group_id")).alias("group_id"),
+        F.when(has, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(has, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )

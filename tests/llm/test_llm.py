@@ -225,6 +225,51 @@ def test_candidates_of_large_buckets(spark):
     assert components.components(links).select("component").distinct().count() == 1
 
 
+def test_deep_buckets_get_further_rounds(spark, monkeypatch):
+    """Every sample is as frequent as a common passage, so buckets are split four times or more."""
+    n, monkey = 512, np.random.default_rng(9)
+    monkeypatch.setattr(chosen_path, "FAR", 0.5)
+
+    def signs(number):
+        base = monkey.integers(0, 4, (n, chosen_path.SIGNS), dtype=np.uint32)
+        other = base.copy()
+        for own in other:
+            own[monkey.permutation(chosen_path.SIGNS)[: 16 if number == 0 else 13]] += 4 + number
+        both = np.stack([base, other], 1).reshape(2 * n, -1)
+        rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(both)]
+        return spark.createDataFrame(rows, "id long, signs binary")
+
+    def pairs(links):
+        found = {(min(r), max(r)) for r in map(tuple, links.collect())}
+        return sum((2 * i, 2 * i + 1) in found for i in range(n))
+
+    first = signs(0)
+    once = pairs(chosen_path.candidate_links(first, small=4))
+    rounds = []
+
+    def fresh(ids, number):
+        rounds.append(number)
+        return signs(number).join(ids, "id")
+
+    assert once < n == pairs(chosen_path.candidate_links(first, small=4, fresh=fresh))
+    assert rounds == list(range(1, len(rounds) + 1)) and len(rounds) >= 2
+    assert [chosen_path.rounds_for(x) for x in (1, 2, 4, 5)] == [1, 1, 2, 3]
+
+
+def test_texts_that_share_a_doc_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join([*base[:59], "other"])
+    clean = " ".join(f"y{i}" for i in range(40))
+    rows = [(3, " ".join(base)), (5, clean), (5, near), (7, clean + " z"), (2, "short"), (2, near + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in chosen_path.similarity_join(docs).collect())
+    assert got == [(2, 2, 0), (2, 2, 2), (3, 2, 2), (5, 2, 2), (5, 5, 1), (7, 5, 1)]
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(map(tuple, kept)) == [(2, "short"), (2, near + " more"), (5, clean)]
+
+
 def test_toxic_words_are_learned():
     pick = random.Random(3)
     texts = [" ".join(f"w{pick.randrange(300)}" for _ in range(30)) + (" vilething" if i % 3 == 0 else "") for i in range(300)]
