@@ -183,7 +183,10 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket))[: len(cuts)], strict=True):
         if b - a > 1:
             out += _candidates_within(ids[a:b], signs[a:b])
-    return pd.DataFrame(out, columns=["u", "v"], dtype="int64").drop_duplicates()
+    # only what is connected counts: a spanning forest, not the square of a bucket
+    u, v = np.array(out, np.int64).reshape(-1, 2).T
+    names, root = forest(u, v)
+    return pd.DataFrame({"u": names, "v": root}, dtype="int64")[names != root]
 
 
 def _pivot_similarity(batches):
