@@ -10,9 +10,11 @@ with the pairs. Loopy sum-product passes messages over both kinds of edges for R
 rounds; all texts of a batch form one graph without edges between texts. Tokens whose
 marginal for a kind reaches SURE and that no base span touches become further spans.
 
-The field is trained piecewise on at most SAMPLE documents with base spans (those with
-the smallest hash of doc_id), labelled by the base spans: token potentials as a softmax
-model of shape features, pair potentials from counts against chance.
+The field is trained piecewise on at most SAMPLE documents whose text holds a digit or @,
+with or without base spans, and has fewer than TRAIN_BYTES bytes (those with the smallest
+hash of doc_id and text), labelled by the base spans: token potentials as a softmax model
+of shape features, pair potentials from counts against chance. Longer texts are left out of
+the training only; spans are found in all texts, whole.
 
 Null and empty texts have no spans. Rows are independent: repeated ones give equal rows.
 """
@@ -36,6 +38,7 @@ from forecourt.llm import common
 # The kinds in the order they are listed.
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, ROUNDS, SURE, STEPS = 1500, 8, 0.95, 150
+TRAIN_BYTES = 100_000
 TABLE = 1 << 14
 GRAPH_CHARS = 2_000_000
 
@@ -249,11 +252,11 @@ def fit(texts: list[str]) -> Field:
     return Field(weights, _against_chance(pairs), np.array([1, 0.01, 0.01, 0.01, 0.01]), _against_chance(skips))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """Fit on at most `sample` documents whose text holds a digit or @."""
+def train(docs: DataFrame, sample: int = SAMPLE, train_bytes: int = TRAIN_BYTES) -> Field:
+    """Fit on at most `sample` documents whose text holds a digit or @, in fewer than train_bytes bytes."""
     some = (
         common.texts(docs)
-        .filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") < 100_000))
+        .filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") < train_bytes))
         .withColumn("hash", F.xxhash64("doc_id", "text"))
     )
     some = common.lowest(some, "hash", sample).select("text")
