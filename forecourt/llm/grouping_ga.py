@@ -6,8 +6,11 @@ does not grow with the data. Each region is evolved by ISLANDS populations, each
 that Spark deals out. A crossover puts whole well-filled bins of one parent into the
 other, drops the bins that they duplicate and best-fits the displaced pieces. After each
 epoch an island passes its best solution to the next one of its region; a population that
-reaches the least possible number of bins stops. Per region at most the last bin's slack
-is lost, well under 0.1 % at the default size.
+reaches the least possible number of bins stops. Where a region reaches that number, it
+loses the slack of its last bin, and the last bins of regions are not packed together. With
+loose pieces of L tokens on average a region has about REGION * L / CAPACITY = 2 L bins, so
+at most 1 / (2 L) of the sequences is lost, half of it on average: 0.05 % and 0.025 % at 1000
+tokens, 0.5 % and 0.25 % at 100.
 
 Null texts are empty; an empty text is one piece of one token (the closing 0). Repeated
 rows are packed as often as they occur.
