@@ -100,6 +100,16 @@ def plain_spans(text):
     ]
 
 
+def test_copies_in_the_pipeline(spark, odd):
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_copies(spark, odd, "")
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id, (r.text or "")[:5]) for r in kept.collect()) == [
+        (2, ""), (3, "word0"), (4, "A b"), (5, "one t"),
+    ]
+
+
 def test_base_spans():
     pick = random.Random(2).choice
     parts = ["a", "b.", "@", "1", "23", "4539578763621486", " ", "-", ".", "+1", "(", ")", "é", "x@y.z", "255", "0007", "\n"]
