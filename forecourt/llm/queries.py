@@ -12,11 +12,14 @@ from forecourt.llm import (
     bpe_tree,
     chosen_path,
     ego_join,
+    filter_audit,
     grouping_ga,
+    run_automaton,
     run_merge,
     skip_crf,
     suffix_sort,
     template,
+    threshold_mix,
     toxic_crf,
 )
 from forecourt.llm.common import table
@@ -185,3 +188,131 @@ s as (
 select d.doc_id, count(s.s) as n_words, round(coalesce(avg(s.s), 0), 6) as score
 from documents d left join s using (doc_id) group by d.doc_id
 """
+
+
+@query
+def op11_run_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_automaton.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Every order against every mask, without ranks or intervals.
+ORACLES["op12_filter_audit"] = r"""
+with recursive t as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+        [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as ws
+    from documents
+), l as (
+    select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic
+    from labels group by doc_id
+), m as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        case when len(ws) < 200 then 'A' else '' end
+        || case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 'B' else '' end
+        || case when 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t)
+            then 'C' else '' end
+        || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as mask
+    from t left join l using (doc_id)
+), c as materialized (
+    select part, mask, count(*) as docs, sum(good) as good, sum(toxic) as toxic
+    from m group by part, mask
+), o as (
+    select '' as o
+    union all
+    select o || x from o, (values ('A'), ('B'), ('C'), ('D'), ('E')) as v(x)
+    where not contains(o, x)
+), s as (
+    select o as filter_order, step, o[step:step] as x, o[1 : step - 1] as earlier
+    from o, range(1, 6) as r(step) where length(o) = 5
+), a as (
+    select part, filter_order, step::int as step, x,
+        sum(case when translate(mask, earlier || x, '') = mask then docs else 0 end) as kept,
+        sum(case when contains(mask, x) and translate(mask, earlier, '') = mask
+            then docs else 0 end) as removed,
+        sum(case when contains(mask, x) and translate(mask, earlier, '') <> mask
+            then docs else 0 end) as redundant,
+        sum(case when mask = x then docs else 0 end) as unique_fails,
+        sum(case when contains(mask, x) and translate(mask, earlier, '') = mask
+            then good else 0 end) as good_lost,
+        sum(case when contains(mask, x) and translate(mask, earlier, '') = mask
+            then toxic else 0 end) as toxic_lost
+    from c, s group by part, filter_order, step, x
+)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed,
+    redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+    good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+    (sum(removed) over (partition by part, x))::bigint as shapley
+from a
+"""
+
+
+@query
+def op13_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_mix.mix(table(spark, sf_dir, "documents"))
+
+
+# Targets by sorting sources, documents one by one in order of their hash.
+ORACLES["op13_threshold_mix"] = r"""
+with recursive d as materialized (
+    select doc_id, source, case when source is null then '1' else '0' || source end as k,
+        len([x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''])
+            as size,
+        ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ' ' || coalesce(text, '')), 1, 15))
+            ::bigint as place
+    from documents
+), s as (
+    select k, sum(size)::bigint as ss, (row_number() over (order by k) - 1) % 3 + 1 as w
+    from d group by k
+), p as (
+    select *, sum(ss) over ()
+        - 3 * coalesce(sum(ss) over (order by ss * 6 // w, k rows between unbounded preceding
+            and 1 preceding), 0) as words,
+        sum(w) over (order by ss * 6 // w, k rows between current row and unbounded following)
+            as weight
+    from s
+), free as (
+    select first(words order by ss * 6 // w, k) as words,
+        first(weight order by ss * 6 // w, k) as weight
+    from p where words * w <= 3 * ss * weight
+), t as (
+    select k, ss, case when free.words * w > 3 * ss * free.weight then (3 * ss)::double
+        else least((free.words * w)::double / free.weight, (3 * ss)::double) end as target
+    from s, free
+), b as materialized (
+    select *, floor(target - copies * ss + 0.5)::bigint as budget,
+        floor(target / 500)::bigint as tol
+    from (select *, case when ss > 0 then floor(target / ss) else 0 end::bigint as copies from t)
+), g as materialized (
+    select k, place, sum(size)::bigint as size,
+        row_number() over (partition by k order by place) as i
+    from d where size > 0 group by k, place
+), f as (
+    select k, 0::bigint as i, budget as r, 0 as skips, true as on_, false as take,
+        false as skip, tol
+    from b where budget > 0
+    union all
+    select f.k, g.i, f.r - case when fits or near then g.size else 0 end,
+        f.skips + (not fits)::int, fits or (not near and f.r > tol and f.skips < 5),
+        fits or near, not fits and not near and f.r > tol, tol
+    from f join g on g.k = f.k and g.i = f.i + 1,
+        lateral (select g.size <= f.r as fits,
+            g.size > f.r and f.r > tol and g.size - f.r <= tol as near)
+    where f.on_
+), late as (
+    select k, arg_min(g.place, (g.size, g.place)) as place
+    from f join g using (k, i) join (select k, min(r) as left_ from f group by k) using (k)
+    where f.skip group by k, left_, tol
+    having left_ > tol and min(g.size) < 2 * left_
+)
+select d.doc_id, d.source, d.size, b.ss as source_size, b.target,
+    d.size * (b.copies + (coalesce(f.take, false) or late.place is not null)::int) as taken
+from d join b using (k)
+left join g on g.k = d.k and g.place = d.place and d.size > 0
+left join f on f.k = g.k and f.i = g.i
+left join late on late.k = g.k and late.place = g.place
+"""
