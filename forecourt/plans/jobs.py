@@ -84,14 +84,14 @@ def ingest_csv(spark: SparkSession, csv_path: str, lake: Lake, **options: str) -
     raw = sources.read_raw_csv(spark, csv_path, **options)
     stamped = raw.withColumn(spec.INGESTED, F.current_timestamp())
     rows = sinks.overwrite_bronze(stamped, lake.batch_bronze)
-    sources.point_table(spark, lake.bronze_table, lake.batch_bronze, stamped.schema)
+    sources.show_table(spark, lake.bronze_table, lake.batch_bronze)
     return rows
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> int:
     listings = silver(spark.table(lake.bronze_table))
     rows = sinks.overwrite_silver(listings, lake.batch_silver)
-    sources.point_table(spark, lake.silver_table, lake.batch_silver, listings.schema)
+    sources.show_table(spark, lake.silver_table, lake.batch_silver)
     return rows
 
 

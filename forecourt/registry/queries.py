@@ -255,7 +255,7 @@ def upsert_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch.new_dir(spark, "silver")
     name = f"listings_{uuid.uuid4().hex}"
     for half in _halves(spark, sf_dir):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        sources.forget(spark, name)
         sinks.upsert_table(half, name, root)
     return sources.load_mart(spark, name)
 

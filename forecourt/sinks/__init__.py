@@ -8,7 +8,9 @@ from forecourt.sinks.messages import (
 )
 from forecourt.sinks.tables import (
     DuplicateKeys,
+    Merge,
     TypeClash,
+    merge_into,
     publish_view,
     save_table,
     upsert_table,
@@ -19,6 +21,8 @@ __all__ = [
     "append_bronze",
     "counted",
     "keyed_messages",
+    "Merge",
+    "merge_into",
     "observed",
     "overwrite_bronze",
     "overwrite_silver",

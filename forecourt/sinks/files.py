@@ -1,11 +1,15 @@
-"""Bronze and Silver directories (K1, K2, K4). Each write returns its row count."""
+"""Bronze and Silver locations (K1, K2, K4). Each write returns its row count.
+
+Every write is one commit (``forecourt.commits``): readers see the rows before or after
+it, a writer that dies half-way changes nothing, and two writers do not lose each other's rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt import commits
 from forecourt.sinks.counting import counted
 from forecourt.sources.files import existing_schema
 
@@ -14,38 +18,39 @@ def overwrite_bronze(df: DataFrame, path: str) -> int:
     """Replace the content; columns the location already had stay, as NULL (K1).
 
     A column that would change its type is refused, as it would make older copies
-    of the layer unreadable together with this one. ``df`` must not read ``path``.
+    of the layer unreadable together with this one. ``df`` may read ``path``.
     """
-    for field in _stored(df, path):
-        if field.name not in df.columns:
-            df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return _overwrite(df, path)
-
-
-def _stored(df: DataFrame, path: str) -> list[T.StructField]:
-    """The columns at ``path``, none of which may have another type in ``df``."""
-    before = existing_schema(df.sparkSession, path) or T.StructType()
-    for field in before:
-        if field.name in df.columns and df.schema[field.name].dataType != field.dataType:
-            raise ValueError(
-                f"column {field.name}: {field.dataType.simpleString()} is stored, "
-                f"{df.schema[field.name].dataType.simpleString()} was given"
-            )
-    return before.fields
+    return _overwrite(df, path, existing_schema(df.sparkSession, path))
 
 
 def append_bronze(df: DataFrame, path: str) -> int:
-    """Add rows, possibly with new columns; read back with ``merge_schema`` (K2).
+    """Add rows, possibly with new columns (K2).
 
     A column that would change its type is refused before anything is written.
     """
-    _stored(df, path)
-    return counted(df, lambda rows: rows.write.mode("append").parquet(path))
+    spark = df.sparkSession
+    if commits.latest(spark, path) is None and existing_schema(spark, path) is not None:
+        raise ValueError(f"{path} holds files that no commit lists")
+    write = _Counting()
+    commits.add(df, path, write)
+    return write.rows
 
 
 def overwrite_silver(df: DataFrame, path: str) -> int:
     return _overwrite(df, path)
 
 
-def _overwrite(df: DataFrame, path: str) -> int:
-    return counted(df, lambda rows: rows.write.mode("overwrite").parquet(path))
+class _Counting:
+    def __init__(self):
+        self.rows = 0
+
+    def __call__(self, df: DataFrame, path: str) -> None:
+        self.rows = counted(df, lambda rows: rows.write.parquet(path))
+
+
+def _overwrite(df: DataFrame, path: str, earlier: T.StructType | None = None) -> int:
+    if earlier:
+        commits.widened(earlier, df.schema)  # refuse before writing
+    write = _Counting()
+    commits.overwrite(df, path, write, earlier=earlier)
+    return write.rows

@@ -2,114 +2,186 @@
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forecourt import commits
+from forecourt.commits import BUCKET, Snapshot, TypeClash
 from forecourt.operators.upsert import duplicate_keys, unmatched
 from forecourt.sinks.counting import counted
-from forecourt.sources.catalog import point_table, register_location, table_exists
-from forecourt.sources.files import path_exists
+from forecourt.sources.catalog import register_location, show_table, table_exists
 
-PUBLISHED = "snapshot string, at long, schema string"
+__all__ = ["DuplicateKeys", "Merge", "TypeClash", "merge_into", "publish_view", "save_table", "upsert_table"]
+
+BUCKETS = 16
+# Folders of one bucket before an upsert that touches it writes it anew as a whole.
+MOST_PARTS = 8
+ATTEMPTS = 5
 
 
 class DuplicateKeys(Exception):
     """The source of an upsert has several rows for one key."""
 
 
-def publish_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
-class TypeClash(Exception):
-    """Rows to store have a column whose type differs from what is stored."""
-
-
-def new_snapshot(root: str) -> str:
-    return f"{root.rstrip('/')}/snapshot-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-
-
-def current_snapshot(spark: SparkSession, root: str) -> tuple[str, T.StructType] | None:
-    """The snapshot under ``root`` that was published last, and its schema.
-
-    The data says what is current, not a session's catalog: a new process finds it.
-    """
-    path = f"{root.rstrip('/')}/published"
-    if not path_exists(spark, path):
-        return None
-    newest = spark.read.schema(PUBLISHED).parquet(path).orderBy(F.desc("at"), F.desc("snapshot")).head()
-    return newest and (newest["snapshot"], T.StructType.fromJson(json.loads(newest["schema"])))
+@dataclass(frozen=True)
+class Merge:
+    """What an upsert did: rows merged, and folders written anew or left as they were."""
 
+    rows: int
+    version: int
+    rewritten: list[str] = field(default_factory=list)
+    kept: list[str] = field(default_factory=list)
+    done_before: bool = False
 
-def publish_snapshot(
-    spark: SparkSession, table: str, root: str, snapshot: str, schema: T.StructType
-) -> None:
-    """Mark a complete snapshot as current, then point the table's name at it."""
-    row = [(snapshot, time.time_ns(), json.dumps(schema.jsonValue()))]
-    marker = spark.createDataFrame(row, PUBLISHED).coalesce(1)
-    marker.write.mode("append").parquet(f"{root.rstrip('/')}/published")
-    point_table(spark, table, snapshot, schema)
 
-
-def widened(old: T.StructType, new: T.StructType) -> T.StructType:
-    """All columns of both; a column may not change its type."""
-    known = {field.name: field.dataType for field in old}
-    for field in new:
-        if known.get(field.name, field.dataType) != field.dataType:
-            raise TypeClash(f"{field.name}: {known[field.name]} stored, {field.dataType} given")
-    return T.StructType([*old, *(field for field in new if field.name not in known)])
+def publish_view(df: DataFrame, name: str) -> None:
+    df.createOrReplaceTempView(name)
 
 
-def save_table(df: DataFrame, name: str, root: str) -> DataFrame:
+def save_table(
+    df: DataFrame, name: str, root: str, marks: dict[str, int] | None = None
+) -> DataFrame:
     """Full refresh of a table kept under ``root``; returns the stored table (K8).
 
-    A new snapshot is written, published and pointed at, so a refresh that dies
+    The refresh is one commit, and the name then shows it, so a refresh that dies
     leaves the rows as they were and another process can refresh again.
     Rows are stored without an order: readers sort, since a table keeps none.
     """
-    spark, snapshot = df.sparkSession, new_snapshot(root)
-    df.write.parquet(snapshot)
-    publish_snapshot(spark, name, root, snapshot, df.schema)
-    return spark.read.schema(df.schema).parquet(snapshot)
+    spark = df.sparkSession
+    snapshot = commits.overwrite(df, root, lambda rows, path: rows.write.parquet(path), marks)
+    show_table(spark, name, root)
+    return commits.read(spark, root, snapshot)
 
 
 def upsert_table(
-    source: DataFrame, table: str, root: str, key: str = "id", fmt: str = "parquet"
+    source: DataFrame, table: str, root: str, key: str = "id", fmt: str = "parquet",
+    buckets: int = BUCKETS,
 ) -> int:
     """Merge ``source`` into ``table``, creating it on the first load; counts its rows.
 
-    With ``fmt="delta"`` the connector's MERGE does the work in place. Parquet has
-    no MERGE, so a new snapshot directory is filled under ``root``, published there and
-    the table is pointed at it. The target is what was published last under ``root``,
-    whether or not this session's catalog knows the table. The old snapshot stays readable until then and a job that dies
-    half-way leaves the table as it was.
-
-    The source is written first, straight into the snapshot. What follows reads
-    its keys back from there, so its lineage runs once, Spark knows its true size
-    when choosing the join, and the uniqueness check scans one column.
+    With ``fmt="delta"`` the connector's MERGE does the work in place, otherwise
+    ``merge_into`` below. The target is the newest version under ``root``, whether or not
+    this session's catalog knows the table.
     """
-    spark = source.sparkSession
     if fmt == "delta":
         return counted(source, lambda rows: _merge_delta(rows, table, root, key))
-
-    old = current_snapshot(spark, root)
-    schema = widened(old[1], source.schema) if old else source.schema
-    snapshot = new_snapshot(root)
-    merged = counted(source, lambda rows: rows.write.parquet(snapshot))
-    written = spark.read.schema(source.schema).parquet(snapshot)
+    merge = merge_into(source, root, key, buckets)
+    show_table(source.sparkSession, table, root)
+    return merge.rows
+
+
+def merge_into(
+    source: DataFrame,
+    root: str,
+    key: str = "id",
+    buckets: int = BUCKETS,
+    marks: dict[str, int] | None = None,
+) -> Merge:
+    """Upsert by copy on write: only folders that hold a key of the source are written anew.
+
+    The source is written first, in hash buckets of the key. Of the target only the
+    buckets it falls into are looked at, and there only the key column, to find the
+    folders with a matching row. Their other rows are written to a new folder; all other
+    folders are listed again as they are, so the cost follows the folders touched and not
+    the table. Keys that are new to the table rewrite nothing. A bucket that would have
+    more than MOST_PARTS folders is written anew as a whole.
+
+    ``buckets`` counts for the first load and stays: about one for each 10 GB the table
+    will grow to keeps a rewrite small. Rows without a key never match, and are only added.
+
+    A writer that was overtaken keeps its result if nobody changed its buckets, and
+    merges again with the newer rows if somebody did. ``marks`` say what the source stands
+    for, such as a batch of a stream; if the table has taken that in, nothing happens.
+    """
+    spark, root, marks = source.sparkSession, root.rstrip("/"), marks or {}
+    base = commits.latest(spark, root)
+    if commits.taken_in(base, marks):
+        return Merge(0, base.version, kept=base.folders(), done_before=True)
+    if base:
+        commits.widened(base.schema, source.schema)
+    own, n = commits.new_write(), base.buckets if base else buckets
+    rows = _write(source, f"{root}/data/{own}", key, n)
+    added = commits.written_buckets(spark, root, own)
+    written = commits.read_folders(
+        spark, root, [commits.folder(b, own) for b in added], source.schema
+    )
     if not duplicate_keys(written, key).isEmpty():
-        raise DuplicateKeys(f"{key} is not unique in the rows to merge into {table}")
+        raise DuplicateKeys(f"{key} is not unique in the rows to merge into {root}")
+
+    for _ in range(ATTEMPTS):
+        base = commits.latest(spark, root)
+        if base and base.buckets != n:
+            raise commits.Conflict(f"{root} has been created with {base.buckets} buckets meanwhile")
+        anew = _to_rewrite(spark, root, base, written, added, key) if base else []
+        again = commits.new_write()
+        if anew:
+            old = commits.read_folders(spark, root, anew, base.schema)
+            _write(unmatched(old, written, key), f"{root}/data/{again}", key, n)
+        copied = commits.written_buckets(spark, root, again)
+
+        def change(newest: Snapshot | None) -> Snapshot | None:
+            if commits.taken_in(newest, marks):
+                return None
+            if newest and base and any(newest.parts.get(b) != base.parts.get(b) for b in added):
+                raise _Overtaken
+            if newest and not base:
+                raise _Overtaken
+            start = newest or Snapshot(0, T.StructType(), buckets=n)
+            parts = dict(start.parts)
+            for b in added:
+                left = [w for w in parts.get(b, []) if commits.folder(b, w) not in anew]
+                parts[b] = [*left, *([again] if b in copied else []), own]
+            return replace(
+                start,
+                schema=commits.widened(start.schema, source.schema),
+                parts=parts,
+                marks={**start.marks, **marks},
+            )
+
+        try:
+            now = commits.commit(spark, root, change)
+        except _Overtaken:
+            continue
+        new = {commits.folder(b, w) for b in [*added, *copied] for w in (own, again)}
+        kept = [x for x in now.folders() if x not in new]
+        mine = own in now.parts.get(added[0], []) if added else True
+        return Merge(rows if mine else 0, now.version, sorted(anew), kept, not mine)
+    raise commits.Conflict(f"{root}: overtaken in the same buckets {ATTEMPTS} times")
+
+
+class _Overtaken(Exception):
+    """Another writer has changed a bucket that this one has read."""
+
+
+def _write(df: DataFrame, path: str, key: str, buckets: int) -> int:
+    # Rebalanced: few files a bucket, and a large bucket is still split over tasks.
+    placed = df.withColumn(BUCKET, commits.bucket_of(F.col(key), buckets))
+    return counted(
+        placed.hint("rebalance", BUCKET), lambda rows: rows.write.partitionBy(BUCKET).parquet(path)
+    )
+
 
-    if old:
-        target = spark.read.schema(old[1]).parquet(old[0])
-        unmatched(target, written, key).write.mode("append").parquet(snapshot)
-    publish_snapshot(spark, table, root, snapshot, schema)
-    return merged
+def _to_rewrite(
+    spark: SparkSession, root: str, base: Snapshot, written: DataFrame, added: list[int], key: str
+) -> list[str]:
+    """Folders of the target that hold a key of the source, or belong to a crowded bucket."""
+    keyed = [b for b in added if b != base.buckets]
+    parts = {commits.folder(b, w): b for b in keyed for w in base.parts.get(b, [])}
+    if not parts:
+        return []
+    only_key = T.StructType([base.schema[key]])
+    where = F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+/[^/]+)/[^/]+$", 1)
+    keys = commits.read_folders(spark, root, list(parts), only_key).select(key, where.alias("part"))
+    hit = keys.join(written.select(key), key, "left_semi").select("part").distinct()
+    found = {row["part"] for row in hit.collect()}  # folders, not rows
+    for b in keyed:
+        own = [x for x, bucket in parts.items() if bucket == b]
+        if len(own) + 1 + any(x in found for x in own) > MOST_PARTS:
+            found.update(own)
+    return sorted(found)
 
 
 def _merge_delta(source: DataFrame, table: str, root: str, key: str) -> None:

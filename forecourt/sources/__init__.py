@@ -1,4 +1,10 @@
-from forecourt.sources.catalog import load_mart, point_table, register_location, table_exists
+from forecourt.sources.catalog import (
+    forget,
+    load_mart,
+    register_location,
+    show_table,
+    table_exists,
+)
 from forecourt.sources.files import (
     existing_schema,
     make_folder,
@@ -9,12 +15,13 @@ from forecourt.sources.files import (
 
 __all__ = [
     "existing_schema",
+    "forget",
     "load_mart",
     "make_folder",
     "path_exists",
-    "point_table",
     "read_layer",
     "read_raw_csv",
     "register_location",
+    "show_table",
     "table_exists",
 ]

@@ -3,38 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+
+from forecourt import commits
+
+FOLDER = "in_folder"
 
 
 def register_location(
     spark: SparkSession, table: str, location: str, fmt: str = "parquet"
 ) -> None:
     """Give an existing location a name such as ``silver.listings``."""
-    database, _, _ = table.rpartition(".")
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    _database_of(spark, table)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{location}'")
 
 
-def point_table(spark: SparkSession, table: str, location: str, schema: T.StructType) -> None:
-    """Make ``table`` show the parquet data at ``location``, whatever it showed before.
+def show_table(spark: SparkSession, name: str, root: str) -> None:
+    """Make ``name`` show the newest version of the data under ``root`` (K5, K7, K8).
 
-    A parquet table keeps the columns it was created with, so those of ``schema``
-    that it lacks are added. Only the catalog changes; no data is touched.
+    The folders of the version are partitions of a catalog table beside it, and ``name`` is a
+    lasting view of the current ones. Replacing the view is one step of the catalog,
+    so a reader never sees folders of two versions. No data is touched.
     """
-    if not table_exists(spark, table):
-        database, _, _ = table.rpartition(".")
-        if database:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        spark.catalog.createTable(table, path=location, source="parquet", schema=schema)
-        return
-    known = set(spark.table(table).columns)
-    new = [field for field in schema if field.name not in known]
+    snapshot = commits.latest(spark, root)
+    _database_of(spark, name)
+    folders = f"{name}_folders"
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema]
+    if not table_exists(spark, folders):
+        spark.sql(
+            f"CREATE TABLE {folders} ({', '.join(columns)}, {FOLDER} STRING) "
+            f"USING parquet PARTITIONED BY ({FOLDER}) LOCATION '{root.rstrip('/')}/data'"
+        )
+    known = set(spark.table(folders).columns)
+    new = [text for f, text in zip(snapshot.schema, columns, strict=True) if f.name not in known]
     if new:
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-    spark.catalog.refreshTable(table)
+        spark.sql(f"ALTER TABLE {folders} ADD COLUMNS ({', '.join(new)})")
+    current = snapshot.folders()
+    if current:
+        parts = [f"PARTITION ({FOLDER}='{x}') LOCATION '{root.rstrip('/')}/data/{x}'" for x in current]
+        spark.sql(f"ALTER TABLE {folders} ADD IF NOT EXISTS {' '.join(parts)}")
+    listed = ", ".join(f"'{x}'" for x in current) or "NULL"
+    shown = ", ".join(f"`{f.name}`" for f in snapshot.schema)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM {folders} WHERE {FOLDER} IN ({listed})"
+    )
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Drop what ``show_table`` has put into the catalog; the data stays."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}_folders")
+
+
+def _database_of(spark: SparkSession, name: str) -> None:
+    database, _, _ = name.rpartition(".")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:

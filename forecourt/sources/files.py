@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from forecourt import commits
+
 
 def read_raw_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
@@ -34,9 +36,14 @@ def read_layer(
 ) -> DataFrame:
     """A stored Bronze or Silver location.
 
-    ``merge_schema`` unions columns over files written by successive appends. It
-    opens every footer, so it is off unless a layer is known to have grown columns.
+    The newest version of a location that keeps commits; its columns are those of all
+    writes. For plain files ``merge_schema`` unions columns over those written by
+    successive appends. It opens every footer, so it is off unless a layer is known to have
+    grown columns.
     """
+    snapshot = commits.latest(spark, path) if fmt == "parquet" else None
+    if snapshot:
+        return commits.read(spark, path, snapshot)
     reader = spark.read.format(fmt)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
@@ -56,8 +63,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """All columns of the parquet data at ``path``, or None when there is none yet.
 
-    Appends may have added columns, so every footer counts, not that of one file.
+    Without commits every footer counts, as appends may have added columns.
     """
+    snapshot = commits.latest(spark, path)
+    if snapshot:
+        return snapshot.schema
     # Asked of the file system: a read that fails is logged as an error by every
     # listener of the session, also when the failure is expected.
     if not path_exists(spark, path):

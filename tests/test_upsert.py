@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from forecourt import sinks
+from forecourt import sinks, sources
 from forecourt.operators import upsert
 from tests.conftest import executed_plan, rows
 
@@ -94,7 +94,8 @@ def test_ambiguous_source_is_refused_and_changes_nothing(spark, table):
 def test_target_is_found_without_its_catalog_name(spark, table):
     name, root = table
     sinks.upsert_table(frame(spark, {"1": 1, "2": 2}), name, root)
-    spark.sql(f"DROP TABLE {name}")
+    sources.forget(spark, name)
+    assert not sources.table_exists(spark, name)
     sinks.upsert_table(frame(spark, {"2": 20, "3": 30}), name, root)
     assert rows(spark.table(name)) == [("1", 1), ("2", 20), ("3", 30)]
 
