@@ -1,7 +1,16 @@
-from forecourt.operators.clean import clean, gold_valid, silver_valid, staging, with_log_price
+from forecourt.operators.clean import (
+    clean,
+    gold_valid,
+    silver_valid,
+    staging,
+    staging_sql,
+    with_log_price,
+)
 from forecourt.operators.dedup import latest_per_key
 from forecourt.operators.profile import price_profile
-from forecourt.operators.quality import ChecksFailed, checks, enforce
+from forecourt.operators.quality import ChecksFailed, checks, enforce, failing_rows
+from forecourt.operators.select import exact_medians
+from forecourt.operators.sketch import distinct_estimates, distinct_sketches
 from forecourt.operators.upsert import upsert
 from forecourt.operators.validate import accepted, classify, produce_metrics, quarantine
 
@@ -11,7 +20,11 @@ __all__ = [
     "checks",
     "classify",
     "clean",
+    "distinct_estimates",
+    "distinct_sketches",
     "enforce",
+    "exact_medians",
+    "failing_rows",
     "gold_valid",
     "latest_per_key",
     "price_profile",
@@ -19,6 +32,7 @@ __all__ = [
     "quarantine",
     "silver_valid",
     "staging",
+    "staging_sql",
     "upsert",
     "with_log_price",
 ]

@@ -10,6 +10,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt import spec
 from forecourt.functions import double_column, int_column, lower_trim, upper_trim
@@ -69,6 +70,34 @@ def staging(silver: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
     return typed.select(*[F.col(renamed.get(c, c)).alias(c) for c in spec.STAGING_COLUMNS])
 
 
+def staging_sql(table: str, schema: T.StructType, layout: Layout = CSV_LAYOUT) -> str:
+    """The text of ``staging`` over a stored table, for a view that outlives the session."""
+    names = schema.fieldNames()
+    layout = replace(layout, make="make") if "make" in names else layout
+
+    def number(name: str, kind: T.DataType) -> str:
+        text = f"try_cast(`{name}` AS DOUBLE)"
+        if schema[name].dataType == kind:
+            return f"`{name}`"
+        return text if isinstance(kind, T.DoubleType) else f"try_cast({text} AS INT)"
+
+    def present(name: str) -> str:
+        floating = isinstance(schema[name].dataType, (T.DoubleType, T.FloatType))
+        return f"`{name}` IS NOT NULL" + (f" AND NOT isnan(`{name}`)" if floating else "")
+
+    expressions = {
+        "make": f"lower(trim(`{layout.make}`))",
+        "model": "lower(trim(`model`))",
+        "state": "upper(trim(`state`))",
+        "price": number("price", T.DoubleType()),
+        "mileage": number(layout.mileage, T.IntegerType()),
+        "year": number("year", T.IntegerType()),
+    }
+    shown = ", ".join(f"{expressions.get(c, f'`{c}`')} AS `{c}`" for c in spec.STAGING_COLUMNS)
+    kept = " AND ".join(present(c) for c in ("price", "year", layout.make))
+    return f"SELECT {shown} FROM {table} WHERE {kept}"
+
+
 def gold_valid(stg: DataFrame, bounds: Bounds = SILVER_BOUNDS) -> DataFrame:
     """Rows that may enter the marts: in bounds, a known make, one of the 50 states."""
     state = F.col("state")

@@ -41,6 +41,7 @@ def price_profile(
     value: str = "price",
     min_count: int = 1,
     width: float = BUCKET_WIDTH,
+    weight: str | None = None,
 ) -> DataFrame:
     """``keys`` plus ``STATS`` for every group with at least ``min_count`` rows.
 
@@ -49,20 +50,27 @@ def price_profile(
     prices are: a group has at most (maximum - minimum) / width places. NaN counts
     as larger than any number.
 
+    ``weight`` names a column that says how many rows a row stands for. Values that are not
+    in a known range, or hardly repeat within one, are for ``select.exact_medians``.
+
     Rows whose ``value`` is NULL are left out, as aggregates do. A NULL key is a key.
     Without ``keys`` the whole frame is one group, and an empty frame gives no row.
     """
-    counted = _cells(_placed(df, keys, value, width), value)
+    counted = _cells(_placed(df, keys, value, width, weight), value)
     middle = _middle_places(_histogram(counted, value, width), keys, min_count)
     cells = counted.join(middle, "place")
     return _read_off(cells, keys, value).select(*keys, *STATS)
 
 
-def _placed(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+def _placed(
+    df: DataFrame, keys: Sequence[str], value: str, width: float, weight: str | None
+) -> DataFrame:
     # One struct, never NULL: joins on it need no NULL filter, which would make the
     # two sides of the shuffled join differ and keep Spark from sharing their shuffle.
     place = F.struct(*keys, F.floor(F.col(value) / width).alias("bucket")).alias("place")
-    return df.filter(F.col(value).isNotNull()).select(place, value, F.lit(1).alias("n"))
+    return df.filter(F.col(value).isNotNull()).select(
+        place, value, (F.col(weight) if weight else F.lit(1)).alias("n")
+    )
 
 
 def _cells(rows: DataFrame, value: str) -> DataFrame:

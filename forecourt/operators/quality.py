@@ -53,6 +53,36 @@ def _as_rows(totals: DataFrame) -> DataFrame:
     )
 
 
+def failing_rows(stg: DataFrame, valid: DataFrame) -> DataFrame:
+    """Every offending row of Q1-Q5 once per check it breaks: ``check_name`` and its columns.
+
+    Repeated ids are found from one folded row per id, the only shuffle, and marked on
+    the rows by a join that does not move them while those ids are few. All other checks look at
+    a row alone. Rows without an id match nothing and are dealt out by their content, should
+    the join be a shuffled one. ``valid`` may lack columns that ``stg`` has, they are NULL then.
+    """
+    spread = F.when(F.col("id").isNull(), F.pmod(F.xxhash64(*stg.columns), F.lit(1000))).otherwise(0)
+    ids = stg.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    repeated = ids.filter("copies > 1").select(
+        "id", F.lit(0).cast("long").alias("spread"), F.lit(True).alias("repeated")
+    )
+    broken = {
+        "unique_id": F.col("repeated"),
+        "not_null_id": F.col("id").isNull(),
+        "not_null_price": F.col("price").isNull(),
+        "not_null_make": F.col("make").isNull(),
+    }
+    names = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in broken.items())))
+    in_staging = (
+        stg.withColumn("spread", spread)
+        .join(repeated, ["id", "spread"], "left")
+        .withColumn("check_name", F.explode(names))
+        .select("check_name", *stg.columns)
+    )
+    in_valid = valid.filter(F.col("price") <= 0).withColumn("check_name", F.lit("price_positive"))
+    return in_staging.unionByName(in_valid, allowMissingColumns=True)
+
+
 def checks(stg: DataFrame, valid: DataFrame) -> DataFrame:
     """Every check with the number of offending values or rows (Q6)."""
     return staging_checks(stg).unionByName(valid_checks(valid))

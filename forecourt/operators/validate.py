@@ -22,13 +22,16 @@ def classify(df: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
     ``error`` is NULL for an accepted row. A missing or unparsable year, price or
     mileage is a rejection; a mileage *column* that does not exist counts as 0.
     NULL make, model and state stay NULL. Pure projection: one pass, no shuffle.
+    With the corrupt-record column of ``read_checked_csv`` a row that has its text there is
+    rejected before any other rule, and the column is kept.
     """
     year = int_column(df, "year")
     price = double_column(df, "price")
     # Judged as bigint so that an absurd odometer is "too high", not "unparsable".
     mileage = to_long(_column_or(df, layout.mileage, 0))
 
-    rules = {
+    malformed = {"row_malformed": F.col(spec.CORRUPT).isNotNull()} if spec.CORRUPT in df.columns else {}
+    rules = malformed | {
         "id_missing": F.col("id").isNull(),
         "year_unparsable": year.isNull(),
         "price_unparsable": price.isNull() | F.isnan(price),
@@ -52,11 +55,12 @@ def classify(df: DataFrame, layout: Layout = CSV_LAYOUT) -> DataFrame:
         .cast("string")
         .alias("condition"),
         first_broken.alias(REASON),
+        *([spec.CORRUPT] if malformed else []),
     )
 
 
 def accepted(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col(REASON).isNull()).drop(REASON)
+    return classified.filter(F.col(REASON).isNull()).drop(REASON, spec.CORRUPT)
 
 
 def quarantine(classified: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The four Gold marts over the valid listing set (A1-A4) and their read-time order.
 
 Each mart reads its two to four columns of ``valid`` more than once and shuffles
-little more than its own groups, so ``valid`` should be stored.
+little more than its own groups, so ``valid`` should be stored. ``weight`` names a column
+that says for how many listings a row stands (``plans.cells``).
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ def _whole_units(name: str):
     return F.round(F.col(name), 0)
 
 
-def price_by_make(valid: DataFrame, min_group: int = spec.MIN_GROUP) -> DataFrame:
+def price_by_make(
+    valid: DataFrame, min_group: int = spec.MIN_GROUP, weight: str | None = None
+) -> DataFrame:
     """Price statistics of every make with at least ``min_group`` listings."""
-    return price_profile(valid, ["make"], min_count=min_group).select(
+    return price_profile(valid, ["make"], min_count=min_group, weight=weight).select(
         "make",
         "listing_count",
         _whole_units("median").alias("median_price"),
@@ -30,9 +33,9 @@ def price_by_make(valid: DataFrame, min_group: int = spec.MIN_GROUP) -> DataFram
     )
 
 
-def price_by_state(valid: DataFrame) -> DataFrame:
+def price_by_state(valid: DataFrame, weight: str | None = None) -> DataFrame:
     """Price statistics per state (A2). Gold input has the 50 states only."""
-    return price_profile(valid, ["state"]).select(
+    return price_profile(valid, ["state"], weight=weight).select(
         "state",
         "listing_count",
         _whole_units("median").alias("median_price"),
@@ -40,9 +43,12 @@ def price_by_state(valid: DataFrame) -> DataFrame:
     )
 
 
-def make_counts(valid: DataFrame, min_group: int = spec.MIN_GROUP) -> DataFrame:
+def make_counts(
+    valid: DataFrame, min_group: int = spec.MIN_GROUP, weight: str | None = None
+) -> DataFrame:
     """The ``make, listing_count`` part of the make mart, for callers that have no such table."""
-    counts = valid.groupBy("make").agg(F.count(F.lit(1)).alias("listing_count"))
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = valid.groupBy("make").agg(rows.alias("listing_count"))
     return counts.filter(F.col("listing_count") >= min_group)
 
 
@@ -52,16 +58,21 @@ def largest_makes(by_make: DataFrame, top: int = spec.TOP_MAKES) -> DataFrame:
 
 
 def price_by_year(
-    valid: DataFrame, by_make: DataFrame | None = None, top: int = spec.TOP_MAKES
+    valid: DataFrame,
+    by_make: DataFrame | None = None,
+    top: int = spec.TOP_MAKES,
+    weight: str | None = None,
 ) -> DataFrame:
     """Depreciation curve: make and year for the ``top`` largest makes.
 
     ``by_make`` is the make mart when it already exists as a table; without it the
     counts are taken from ``valid``. Few groups: ``top`` makes times the years in bounds.
     """
-    leaders = largest_makes(make_counts(valid) if by_make is None else by_make, top)
+    if by_make is None:
+        by_make = make_counts(valid, weight=weight)
+    leaders = largest_makes(by_make, top)
     of_leaders = valid.join(F.broadcast(leaders), "make", "left_semi")
-    return price_profile(of_leaders, ["make", "year"]).select(
+    return price_profile(of_leaders, ["make", "year"], weight=weight).select(
         "make",
         "year",
         "listing_count",
@@ -69,14 +80,14 @@ def price_by_year(
     )
 
 
-def listings_summary(valid: DataFrame) -> DataFrame:
+def listings_summary(valid: DataFrame, weight: str | None = None) -> DataFrame:
     """One KPI row.
 
     The distinct counts run over one row per make and state, not over the listings,
     so their expansion is tiny. Both halves have one row; they are folded by a union,
     which also yields the single row of an empty input.
     """
-    prices = price_profile(valid).select(
+    prices = price_profile(valid, weight=weight).select(
         F.col("listing_count").alias("total_listings"),
         _whole_units("median").alias("overall_median_price"),
         _whole_units("mean").alias("overall_avg_price"),

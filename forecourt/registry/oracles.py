@@ -147,6 +147,56 @@ merged as (
 _UPSERTED = f"""with {_SPLIT}
   select id, make, model, year, price, odometer, state, ingested_at from merged"""
 
+# Two halves of the listings, each cleaned, made unique and filtered by itself.
+_TWO_DAYS = f"""{_LISTINGS},
+day as (select *, ingested_at >= timestamp '1999-01-01' as fresh from typed),
+one as (
+  select * from day qualify row_number() over (
+    partition by id, fresh order by ingested_at desc, l_partkey, l_suppkey, l_extendedprice) = 1),
+filtered as (
+  select * from one
+  where {_IN_BOUNDS} and odometer between 0 and 500000 and make is not null and make <> ''),
+silver as (
+  select * from filtered r
+  where fresh or not exists (select 1 from filtered s where s.fresh and s.id = r.id)),
+valid as (
+  select id, make, model, year, price, odometer as mileage, state, condition, ingested_at
+  from silver
+  where make not in ('', 'unknown') and length(state) = 2 and state in ({_STATES}))"""
+
+# The same through messages: what was sent on a day, ties decided by the record.
+_STREAM_DAYS = f"""{_LISTINGS},
+sent as (
+  select raw.id, lower(trim(manufacturer)) as make, lower(trim(model)) as model, year,
+    {_half_up('price', 2)} as price, cast(trunc(odometer) as integer) as mileage,
+    upper(trim(state)) as state, condition, ingested_at >= timestamp '1999-01-01' as fresh
+  from raw
+  where price > 0 and price <= 500000 and odometer between 0 and 1000000),
+one as (
+  select * from sent qualify row_number() over (partition by id, fresh order by
+    make nulls first, model, year, price, mileage, state, condition) = 1),
+filtered as (
+  select * from one
+  where {_IN_BOUNDS} and mileage between 0 and 500000 and make is not null and make <> '')"""
+
+# Unquoted commas give a cell too many, line breaks two lines with too few.
+_LINES = f"""{_LISTINGS},
+cells as (
+  select *, split_part(id, '-', 2) as line, cast(trunc(price) as bigint) as whole_price,
+    cast(trunc(odometer) as bigint) as whole_odometer
+  from raw),
+head as (
+  select *, id || ',' || coalesce(manufacturer, '') || ',' as first_cells,
+    ',' || year || ',' || whole_price || ',' || whole_odometer || ',' || state || ','
+      || condition as last_cells
+  from cells)"""
+
+_UNFILTERED = f"""with {_JUDGED},
+staged as (
+  select id, case when odometer > 0 then lower(trim(manufacturer)) end as make,
+    case when condition <> 'R' then price end as price
+  from pushed)"""
+
 _CSV_TIES = "manufacturer nulls first, model, year, price, odometer, state, condition, make"
 
 ORACLES: dict[str, str] = {
@@ -197,6 +247,51 @@ ORACLES: dict[str, str] = {
     "upsert_listings": _UPSERTED,
     "upsert_stored": _UPSERTED,
     "upsert_reopened": _UPSERTED,
+    "upsert_touched": f"""with {_SPLIT}
+      select id, make, model, year, price, odometer, state, ingested_at, 1 as folders_rewritten
+      from merged""",
+    "marts_after_upsert": f"""with {_TWO_DAYS}, by_make as ({_BY_MAKE})
+      select 'make' as mart, * from by_make
+      union all by name select 'state' as mart, * from ({_BY_STATE})
+      union all by name select 'year' as mart, * from ({_BY_YEAR})
+      union all by name select 'summary' as mart, * from ({_SUMMARY})""",
+    "quality_failures": f"""{_UNFILTERED}
+      select 'unique_id' as check_name, * from staged
+      where id in (select id from staged group by id having count(*) > 1)
+      union all select 'not_null_id', * from staged where id is null
+      union all select 'not_null_price', * from staged where price is null
+      union all select 'not_null_make', * from staged where make is null
+      union all select 'price_positive', * from staged where price <= 0""",
+    "median_of_doubles": """
+      select l_returnflag, count(*) as n, round(median(l_extendedprice / l_quantity / 3), 6) as median
+      from lineitem group by l_returnflag""",
+    "coverage_sketch": f"""with {_LISTINGS}
+      select count(distinct make) as make, count(distinct state) as state, true as ids_near
+      from typed""",
+    "message_keys": f"""with {_JUDGED}
+      select id as key, '{{' || {_RECORD} || '}}' as value from judged where error is null""",
+    "stream_restart": "select event_id, user_id, event_type, value from events",
+    "stream_silver_incremental": f"""with {_STREAM_DAYS}
+      select id, make, model, year, price, mileage, state, condition from filtered r
+      where fresh or not exists (select 1 from filtered s where s.fresh and s.id = r.id)""",
+    "csv_malformed": f"""with {_LINES}
+      select id, lower(trim(manufacturer)) as make, lower(trim(model)) as model, year,
+        cast(whole_price as double) as price, cast(whole_odometer as integer) as mileage, state,
+        condition, cast(null as varchar) as error, cast(null as varchar) as line
+      from head where line not in ('5', '6')
+      union all
+      select null, null, null, null, null, null, null, null, 'row_malformed', unnest(
+        case line when '5' then [first_cells || 'a, b ' || model || last_cells]
+          else [first_cells || 'a', model || last_cells] end)
+      from head where line in ('5', '6')""",
+    "silver_clustered": f"""with {_VALID}
+      select id, make, model, year, price, mileage, state, condition from valid where state = 'CA'""",
+    "ingest_stamps": """
+      select count(*) as stamped, 1 as instants, true as after_start, true as before_end
+      from lineitem""",
+    "resumed_job": f"with {_chain(order=_CSV_TIES)} {_BY_MAKE}",
+    "stg_view": f"""with {_chain(order=_CSV_TIES)}
+      select id, make, model, year, price, odometer as mileage, state, condition from silver""",
     "quality_checks": f"""with {_VALID},
       staged as (select * from silver where manufacturer is not null)
       select 'unique_id' as check_name, count(*) as failures

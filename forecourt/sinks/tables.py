@@ -14,7 +14,8 @@ from forecourt.operators.upsert import duplicate_keys, unmatched
 from forecourt.sinks.counting import counted
 from forecourt.sources.catalog import register_location, show_table, table_exists
 
-__all__ = ["DuplicateKeys", "Merge", "TypeClash", "merge_into", "publish_view", "save_table", "upsert_table"]
+__all__ = ["DuplicateKeys", "Merge", "TypeClash", "merge_into", "publish_lasting_view",
+           "publish_view", "save_table", "upsert_table"]
 
 BUCKETS = 16
 # Folders of one bucket before an upsert that touches it writes it anew as a whole.
@@ -41,6 +42,11 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def publish_lasting_view(spark: SparkSession, name: str, query: str) -> None:
+    """A view in the catalog, for all sessions; replacing it is one step (K7)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def save_table(
     df: DataFrame, name: str, root: str, marks: dict[str, int] | None = None
 ) -> DataFrame:

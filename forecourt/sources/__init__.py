@@ -7,8 +7,11 @@ from forecourt.sources.catalog import (
 )
 from forecourt.sources.files import (
     existing_schema,
+    list_names,
     make_folder,
+    move_new,
     path_exists,
+    read_checked_csv,
     read_layer,
     read_raw_csv,
 )
@@ -16,9 +19,12 @@ from forecourt.sources.files import (
 __all__ = [
     "existing_schema",
     "forget",
+    "list_names",
     "load_mart",
     "make_folder",
+    "move_new",
     "path_exists",
+    "read_checked_csv",
     "read_layer",
     "read_raw_csv",
     "register_location",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt import commits
+from forecourt import commits, spec
 
 
 def read_raw_csv(
@@ -31,6 +32,22 @@ def read_raw_csv(
     return reader.csv(path)
 
 
+def read_checked_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Raw listings as text, and the line of each row that does not fit the header.
+
+    A row with more or fewer cells than the header would otherwise be read by position, so
+    that an unquoted comma moves the price into the year. Such a row has NULL in all columns
+    but the corrupt-record one, which holds its text and is NULL in all other rows.
+    """
+    names = read_raw_csv(spark, path, **options).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, spec.CORRUPT]])
+    # all cells are parsed: a pruned read would not notice that there are too many
+    checked = {**options, "columnPruning": "false", "columnNameOfCorruptRecord": spec.CORRUPT}
+    rows = read_raw_csv(spark, path, schema, **checked)
+    fits = F.col(spec.CORRUPT).isNull()
+    return rows.select(*(F.when(fits, F.col(f"`{n}`")).alias(n) for n in names), spec.CORRUPT)
+
+
 def read_layer(
     spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:
@@ -55,6 +72,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in files.listStatus(location))
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file its final name; one that has arrived there before stays."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(new) and not files.rename(old, new):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(location)

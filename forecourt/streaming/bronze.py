@@ -7,6 +7,8 @@ that is restarted on another machine neither loses nor repeats records.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,11 @@ def read_message_files(spark: SparkSession, path: str, **options: str) -> DataFr
     return spark.readStream.options(**options).text(path)
 
 
+def read_keyed_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """``key`` and ``value`` of messages sent to files, as a topic has them."""
+    return spark.readStream.schema("key string, value string").options(**options).json(path)
+
+
 def parse_messages(raw: DataFrame, schema: T.StructType = spec.WIRE) -> DataFrame:
     """``value`` to typed columns, arrival time, and the text of records that did not fit.
 
@@ -80,6 +87,38 @@ def start_bronze(records: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
+def wait(query: StreamingQuery, what: str, timeout: int | None) -> StreamingQuery:
+    """Until the input is drained; without a timeout as long as it takes."""
+    if query.awaitTermination(timeout) is False:
+        query.stop()
+        raise StreamTimeout(f"{what}: input not drained after {timeout} s")
+    return query
+
+
+def drain_batches(
+    rows: DataFrame, merge: Callable[[DataFrame, dict[str, int]], None], checkpoint: str,
+    timeout: int | None = None,
+) -> StreamingQuery:
+    """Hand everything available now to ``merge`` in batches (ST3).
+
+    A batch comes with its mark, the name of the stream and the number of the batch. After a
+    loss the last batch may come again with the same mark: what ``merge`` stores must
+    hold the mark, so that it can tell (``sinks.merge_into``, ``commits.add``).
+    """
+
+    def handle(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge(batch, {f"stream {stream}": number})
+
+    query = (
+        rows.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    return wait(query, checkpoint, timeout)
+
+
 def drain_to_bronze(
     raw: DataFrame,
     path: str,
@@ -88,9 +127,4 @@ def drain_to_bronze(
     timeout: int | None = None,
 ) -> StreamingQuery:
     """Parse, append and wait; the finished query is returned for its progress (ST1, ST6)."""
-    query = start_bronze(parse_messages(raw, schema), path, checkpoint)
-    # without a timeout this returns when the input is drained
-    if query.awaitTermination(timeout) is False:
-        query.stop()
-        raise StreamTimeout(f"{path}: input not drained after {timeout} s")
-    return query
+    return wait(start_bronze(parse_messages(raw, schema), path, checkpoint), path, timeout)

@@ -1,0 +1,71 @@
+"""Exact medians of arbitrary doubles, and sketches of distinct counts."""
+
+from __future__ import annotations
+
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from forecourt import commits
+from forecourt.operators import distinct_estimates, distinct_sketches, exact_medians, select
+from forecourt.operators.sketch import ERROR
+from tests.conftest import rows
+
+
+@pytest.mark.parametrize("bound", [2, 50])
+def test_against_brute_force(spark, bound):
+    rng = random.Random(bound)
+    groups = {
+        "spread": [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300) for _ in range(301)],
+        "close": [1e6 + rng.randrange(400) * 1e-9 for _ in range(300)],
+        "hot": [5.0] * 500 + [rng.random() for _ in range(100)],
+        "pair": [1.0, 2.0],
+        None: [3.5],
+    }
+    data = [(k, v) for k, values in groups.items() for v in values] + [("spread", None), ("none", None)]
+    df = spark.createDataFrame(data, "g string, price double").repartition(3)
+    got = {r.g: (r.n, r.median) for r in exact_medians(df, ["g"], bound=bound).collect()}
+    assert got == {k: (len(v), statistics.median(v)) for k, v in groups.items()}
+
+
+def test_a_million_distinct_values_in_one_place(spark, monkeypatch):
+    """Within one price range and one group; what is ranked in the end stays below the bound."""
+    n, bound = 1_000_001, 2_000
+    place = (F.xxhash64("id") / 2.0**63 * 25 + 1000.0).alias("price")
+    df = spark.range(n).select(place)
+    levels, real = [], select._narrowed
+
+    def narrowed(part, cuts):
+        out = real(part, cuts)
+        levels.append(out.count())
+        return out
+
+    monkeypatch.setattr(select, "_narrowed", narrowed)
+    found = exact_medians(df, bound=bound).first()
+    below = df.filter(F.col("price") < found.median).count()
+    assert (found.n, below) == (n, n // 2)
+    assert 1 <= len(levels) <= 3 and levels[-1] <= bound and levels[0] < n / 20
+
+
+def test_without_keys_and_without_rows(spark):
+    assert rows(exact_medians(spark.range(4).select(F.col("id").cast("double").alias("price")))) == [(4, 1.5)]
+    assert exact_medians(spark.createDataFrame([], "price double")).count() == 0
+
+
+def test_sketches_unite_to_that_of_all_rows(spark, tmp_path):
+    root = str(tmp_path / "sketches")
+    for first in (0, 10_000, 20_000):
+        batch = spark.range(first, first + 15_000).selectExpr("string(id) as id", "id % 7 as few")
+        commits.add(
+            distinct_sketches(batch, ["id", "few"]), root,
+            lambda df, path: df.write.parquet(path), marks={"batch": first},
+        )
+    got = distinct_estimates(commits.read(spark, root), ["id", "few"]).first()
+    assert got.few == 7 and abs(got.id - 35_000) < 4 * ERROR * 35_000
+
+
+def test_sketch_of_nothing(spark):
+    none = distinct_sketches(spark.createDataFrame([], "a string"), ["a"])
+    assert distinct_estimates(none, ["a"]).first().a == 0

@@ -131,3 +131,39 @@ def test_overwrite_of_an_empty_folder(spark, tmp_path):
     path = tmp_path / "bronze"
     path.mkdir()
     assert sinks.overwrite_bronze(spark.createDataFrame([("1",)], "id string"), str(path)) == 1
+
+
+def test_rows_that_do_not_fit_the_header_are_told_apart(spark, tmp_path):
+    file = tmp_path / "raw.csv"
+    file.write_text("id,model,price\n1,a,5\n2,a, b,6\n3,a\n4,\"c, d\",7\n")
+    df = sources.read_checked_csv(spark, str(file))
+    assert rows(df) == sorted(
+        [("1", "a", "5", None), ("4", "c, d", "7", None), (None, None, None, "2,a, b,6"), (None, None, None, "3,a")],
+        key=repr,
+    )
+    # also where few columns are asked for
+    assert df.filter("id is null").select("id").count() == 2
+
+
+def test_clustered_silver_reads_fewer_rows(spark, tmp_path):
+    """A filter on the clustering column skips row groups; on other layouts it cannot."""
+    rows_ = spark.range(200_000).selectExpr(
+        "string(id) as id", "concat('S', id % 50) as state", "concat('M', id % 7) as make"
+    ).repartition(2)
+    scanned = {}
+    with_small_groups = spark.conf.get("parquet.block.size", None)
+    spark._jsc.hadoopConfiguration().setInt("parquet.block.size", 64 * 1024)
+    try:
+        for name, columns in (("plain", ()), ("clustered", ("state", "make"))):
+            path = str(tmp_path / name)
+            sinks.overwrite_silver(rows_, path, cluster_by=columns)
+            found = sources.read_layer(spark, path).filter("state = 'S7'")
+            assert found.collect() and found.count() == 4000
+            plan = found._jdf.queryExecution().executedPlan()
+            assert "PushedFilters: [IsNotNull(state), EqualTo(state,S7)]" in plan.toString()
+            leaf = plan.collectLeaves().head()
+            scanned[name] = leaf.metrics().apply("numOutputRows").value()
+    finally:
+        spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+        assert with_small_groups is None
+    assert scanned["plain"] == 200_000 and scanned["clustered"] < 50_000
