@@ -4,13 +4,15 @@ A document is the set of its five-word shingles (words: runs of letters and digi
 lower-cased; a shorter text is one shingle of all its words). Equal sets are one class, so
 copies cost nothing later. SIGNS minimum hashes of a set are its sampled tokens.
 
-A run deals the classes into buckets by one sampled token; sets that agree in it share a
-path. A bucket of at most SMALL sets is compared by brute force on the sampled tokens. A
-larger one first meets a pivot: sets near the pivot are linked to it and leave, those
-between near and far are linked to it and stay with the far ones, and what stays is split
-again on the next sampled token. By the triangle inequality of the Jaccard distance no
-partner of a set that left stays behind unlinked. Splitting goes on until nothing is left.
-A round of RUNS runs shares its SIGNS samples and misses a pair of similarity s, whose
+A run deals the classes into buckets by two sampled tokens; sets that agree in both share a
+path. A bucket of at most SMALL sets is compared by brute force on one byte of each sampled
+token. A larger one first meets a pivot, another one in each bucket: sets near the pivot are
+linked to it and leave, those between near and far are linked to it and stay with the far
+ones, and what stays is split again on the next sampled token. By the triangle inequality a
+partner of a set that left has a similarity of at least NEAR - (1 - SIMILAR) to the pivot, and
+FAR lies 0.1 below that for the error of two estimates. Worked out for the worst case, a true
+similarity of NEAR, the partner is missed in that bucket with a chance of 0.06; other runs
+meet other pivots. Splitting goes on until nothing is left. A round of RUNS runs shares its SIGNS samples and misses a pair of similarity s, whose
 buckets end after depth samples, with the mean of (1 - m ** depth) ** RUNS over the share m
 of samples that agree: 0.00004 for s = 0.8 and depth 2, 0.006 for depth 4. The depth grows
 with the buckets, so the deepest one of each class is noted, and a class takes part in
@@ -18,8 +20,8 @@ further rounds with fresh samples until that chance is at most MISS at its depth
 shallower one of a pair decides how many rounds the pair needs, and both take part in those.
 
 Linked classes form candidate groups, and here the comparison becomes exact: shingle sets
-of the group's members travel once and are intersected block against block, at most BLOCK
-members a block, so a group of any size is many bounded tasks. Links are counted there,
+of the group's members travel once and are intersected block against block, at most some BLOCK
+members or SHINGLES shingles a block (or one set), so a group of any size is many bounded tasks. Links are counted there,
 never listed; what leaves a block is a spanning forest.
 
 A class is known by its shingles, not by a doc_id: texts that share a doc_id are told apart.
@@ -45,8 +47,8 @@ from pyspark.sql import functions as F
 from forecourt.llm import common
 from forecourt.llm.components import components, forest
 
-WORDS, SIGNS, RUNS, SMALL, BLOCK = 5, 64, 12, 512, 2048
-NEAR, FAR, CANDIDATE = 0.5, 0.2, 0.55
+WORDS, SIGNS, RUNS, SMALL, BLOCK, SHINGLES = 5, 64, 12, 512, 2048, 2_000_000
+NEAR, FAR, CANDIDATE = 0.75, 0.45, 0.55
 SIMILAR, MISS = 0.8, 1e-4
 KEY = ["doc_id", "a", "b", "size"]
 
@@ -137,25 +139,28 @@ def _sketch(batches):
     return _sketch_of(batches, 0)
 
 
-def _similar(one: np.ndarray, all_: np.ndarray) -> np.ndarray:
-    return (all_ == one).mean(1)
-
-
-def _candidates_within(ids: np.ndarray, signs: np.ndarray):
-    """Links that connect every pair of a bucket whose estimate reaches CANDIDATE."""
-    out = []
-    while len(ids) > 1:
-        s = _similar(signs[0], signs[1:])
-        linked = s >= FAR if len(ids) > 64 else s >= CANDIDATE
-        out += [(ids[0], x) for x in ids[1:][linked]]
-        # with a near pivot, whatever is near needs no further comparison
-        stay = np.append(False, s < NEAR) if len(ids) > 64 else np.arange(len(ids)) > 0
-        ids, signs = ids[stay], signs[stay]
+def _candidates_within(ids: np.ndarray, briefs: np.ndarray):
+    """Pairs of a bucket whose estimate reaches CANDIDATE, a few million comparisons at a time."""
+    out, rows = [], max(1, 4_000_000 // (len(ids) * SIGNS))
+    for a in range(0, len(ids), rows):
+        alike = (briefs[a : a + rows, None, :] == briefs[None, a:, :]).mean(2) >= CANDIDATE
+        i, j = np.nonzero(np.triu(alike, 1))
+        out.append(np.stack([ids[a + i], ids[a + j]], 1))
     return out
 
 
 def _unpack(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, SIGNS)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, SIGNS)
+
+
+def _briefs(batches):
+    """One byte of each sampled token is enough to estimate a similarity."""
+    for batch in batches:
+        signs = np.frombuffer(b"".join(batch.column("signs").to_pylist()), np.uint8)
+        low = np.ascontiguousarray(signs.reshape(-1, SIGNS, 4)[:, :, 0])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([x.tobytes() for x in low], pa.binary())], ["id", "brief"]
+        )
 
 
 def _compare_buckets(frames):
@@ -176,15 +181,15 @@ def _compare_buckets(frames):
 
 def _compare(frame: pd.DataFrame) -> pd.DataFrame:
     bucket, ids = frame["bucket"].to_numpy(), frame["id"].to_numpy()
-    signs = _unpack(frame["signs"])
+    briefs = _unpack(frame["brief"])
     new = np.ones(len(bucket), bool)
     new[1:] = bucket[1:] != bucket[:-1]
-    cuts, out = np.flatnonzero(new), []
+    cuts, out = np.flatnonzero(new), [np.zeros((0, 2), np.int64)]
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket))[: len(cuts)], strict=True):
         if b - a > 1:
-            out += _candidates_within(ids[a:b], signs[a:b])
+            out += _candidates_within(ids[a:b], briefs[a:b])
     # only what is connected counts: a spanning forest, not the square of a bucket
-    u, v = np.array(out, np.int64).reshape(-1, 2).T
+    u, v = np.concatenate(out).T
     names, root = forest(u, v)
     return pd.DataFrame({"u": names, "v": root}, dtype="int64")[names != root]
 
@@ -192,12 +197,10 @@ def _compare(frame: pd.DataFrame) -> pd.DataFrame:
 def _pivot_similarity(batches):
     for batch in batches:
         names = batch.schema.names
-        own, pivot = (_unpack(batch.column(x).to_pylist()) for x in ("signs", "pivot"))
+        own, pivot = (_unpack(batch.column(x).to_pylist()) for x in ("brief", "pivot"))
         s = (own == pivot).mean(1) if len(own) else np.zeros(0)
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(x) for x in names if x != "pivot"), pa.array(s)],
-            [*(x for x in names if x != "pivot"), "s"],
-        )
+        names = [x for x in names if x not in ("brief", "pivot")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(s)], [*names, "s"])
 
 
 def _sign(k, signs="signs"):
@@ -234,29 +237,25 @@ def candidate_links(
 
 
 def _round(classes: DataFrame, runs: int, small: int):
-    """Links of one round, and (depth, ids dealt by that many samples) from depth 2 on."""
-    depth, found, depths = 0, [], []
+    """Links of one round, and (depth, ids dealt by that many samples) from depth 3 on."""
+    depth, found, depths = 2, [], []
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    briefs = classes.mapInArrow(_briefs, "id long, brief binary")
+    # tokens of their own for up to SIGNS / 5 runs
+    first, second = (F.pmod(5 * F.col("run") + x, F.lit(SIGNS)) for x in (0, 2))
     rows = classes.select(
         "id", "signs", F.explode(F.array(*[F.lit(r) for r in range(runs)])).alias("run")
-    ).withColumn("bucket", F.col("run").cast("long"))
+    ).select("id", "run", F.xxhash64("run", _sign(first), _sign(second)).alias("bucket"))
     while True:
-        token = F.pmod(F.xxhash64(F.lit(depth), "bucket"), F.lit(SIGNS)).cast("int")
-        # the first level is split at once: its buckets are known to hold everything
-        if depth == 0:
-            token = F.pmod(F.col("run") * 5, F.lit(SIGNS)).cast("int")
-        rows = rows.select(
-            "id", "signs", "run",
-            F.xxhash64(F.lit(depth), "bucket", _sign(token)).alias("bucket"),
-        )
+        # another pivot in each bucket, so that the error of one estimate does not repeat
         count = rows.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("id").alias("least")
+            F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "bucket")).alias("centre")
         ).filter("n > 1")
-        slim = common.store(rows.drop("signs").join(count, "bucket"), "buckets")
-        members = slim.join(classes, "id")
-        few = members.filter(F.col("n") <= small)
-        parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slim = common.store(rows.join(count, "bucket"), "buckets")
         found.append(
-            few.select("bucket", "id", "signs")
+            slim.filter(F.col("n") <= small)
+            .select("bucket", "id")
+            .join(briefs, "id")
             .repartition(parts, "bucket")
             .sortWithinPartitions("bucket", "id")
             .mapInPandas(_compare_buckets, "u long, v long")
@@ -265,27 +264,32 @@ def _round(classes: DataFrame, runs: int, small: int):
         if many.isEmpty():
             break
         pivots = (
-            many.select("bucket", "least").distinct()
-            .join(classes.select(F.col("id").alias("least"), F.col("signs").alias("pivot")), "least")
+            many.select("bucket", F.col("centre").alias("id")).distinct()
+            .join(briefs, "id")
+            .select("bucket", F.col("brief").alias("pivot"))
         )
-        judged = (
-            many.join(pivots.select("bucket", "pivot"), "bucket")
-            .join(classes, "id")
-            .select("bucket", "run", "id", "least", "signs", "pivot")
+        judged = common.store(
+            many.select("bucket", "run", "id", "centre")
+            .join(briefs, "id")
+            .join(pivots, "bucket")
+            .select("id", "bucket", "run", "centre", "brief", "pivot")
             .mapInArrow(
-                _pivot_similarity,
-                "bucket long, run int, id long, least long, signs binary, s double",
-            )
+                _pivot_similarity, "id long, bucket long, run int, centre long, s double"
+            ),
+            "judged",
         )
-        judged = common.store(judged, "judged")
         found.append(
-            judged.filter(F.col("s") >= FAR).select(F.col("least").alias("u"), F.col("id").alias("v"))
+            judged.filter((F.col("s") >= FAR) & (F.col("id") != F.col("centre"))).select(
+                F.col("centre").alias("u"), F.col("id").alias("v")
+            )
         )
-        rows = judged.filter((F.col("s") < NEAR) & (F.col("id") != F.col("least"))).select(
-            "id", "signs", "run", "bucket"
+        stay = judged.filter((F.col("s") < NEAR) & (F.col("id") != F.col("centre")))
+        token = F.pmod(F.xxhash64(F.lit(depth), "bucket"), F.lit(SIGNS)).cast("int")
+        rows = stay.select("id", "run", "bucket").join(classes, "id").select(
+            "id", "run", F.xxhash64("bucket", _sign(token)).alias("bucket")
         )
         depth += 1
-        depths.append((depth + 1, rows.select("id")))
+        depths.append((depth, stay.select("id")))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -422,9 +426,10 @@ def _joined(rows: DataFrame) -> DataFrame:
         def sketch(batches):
             return _sketch_of(batches, number)
 
+        # samples travel, not texts
         return (
-            texts.join(own, "doc_id", "left_semi")
-            .mapInArrow(sketch, "doc_id long, a long, b long, size long, signs binary")
+            texts.mapInArrow(sketch, "doc_id long, a long, b long, size long, signs binary")
+            .filter("size > 0")
             .join(own, KEY)
             .select("id", "signs")
             .dropDuplicates(["id"])
@@ -435,13 +440,16 @@ def _joined(rows: DataFrame) -> DataFrame:
         components(links).select(F.col("vertex").alias("id"), F.col("component").alias("comp")),
         "groups",
     )
-    # members of a group are dealt into blocks of at most about BLOCK
-    size = groups.groupBy("comp").agg(F.count("*").alias("m"))
+    # members of a group are dealt into blocks of at most about BLOCK sets or SHINGLES shingles
+    members = common.store(groups.join(classes.select(*KEY, "id", "weight"), "id"), "members")
+    size = members.groupBy("comp").agg(F.count("*").alias("m"), F.sum("size").alias("shingles"))
     blocks = (
-        groups.join(size, "comp")
-        .withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+        members.join(size, "comp")
+        .withColumn(
+            "blocks",
+            F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / SHINGLES)).cast("int"),
+        )
         .withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .join(classes.select(*KEY, "id", "weight"), "id")
     )
     pairs = blocks.select(
         *KEY, "id", "comp", "weight", "side",
