@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from forecourt.llm import common
 from forecourt.llm.components import components, forest
 
-WORDS, SIGNS, RUNS, SMALL, BLOCK, SHINGLES = 5, 64, 12, 512, 2048, 2_000_000
+WORDS, SIGNS, RUNS, SMALL, BLOCK, SHINGLES = 5, 64, 12, 4096, 2048, 2_000_000
 NEAR, FAR, CANDIDATE = 0.75, 0.45, 0.55
 SIMILAR, MISS = 0.8, 1e-4
 KEY = ["doc_id", "a", "b", "size"]
@@ -240,7 +240,7 @@ def _round(classes: DataFrame, runs: int, small: int):
     """Links of one round, and (depth, ids dealt by that many samples) from depth 3 on."""
     depth, found, depths = 2, [], []
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    briefs = classes.mapInArrow(_briefs, "id long, brief binary")
+    briefs = common.store(classes.mapInArrow(_briefs, "id long, brief binary"), "briefs")
     # tokens of their own for up to SIGNS / 5 runs
     first, second = (F.pmod(5 * F.col("run") + x, F.lit(SIGNS)) for x in (0, 2))
     rows = classes.select(
@@ -458,20 +458,22 @@ def _joined(rows: DataFrame) -> DataFrame:
         *KEY, "id", "comp", "weight", "side",
         F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
     )
+    # a condition that always holds: Spark builds its filter of doc_ids only from a narrowed side
     sets = (
-        texts.join(blocks.select("doc_id"), "doc_id", "left_semi")
+        texts.join(members.filter("size > 0").select("doc_id"), "doc_id", "left_semi")
         .mapInArrow(_hash_sets, "doc_id long, a long, b long, size long, hashes binary")
         .dropDuplicates(KEY)
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    verified = common.store(
-        pairs.join(sets, KEY)
-        .drop(*KEY)
-        .repartition(parts, "comp", "i", "j")
-        .sortWithinPartitions("comp", "i", "j", "id")
-        .mapInPandas(_verify, "id long, n long, root long"),
-        "verified",
-    )
+    with common.filtered_joins(spark):
+        verified = common.store(
+            pairs.join(sets, KEY)
+            .drop(*KEY)
+            .repartition(parts, "comp", "i", "j")
+            .sortWithinPartitions("comp", "i", "j", "id")
+            .mapInPandas(_verify, "id long, n long, root long"),
+            "verified",
+        )
     counts = verified.groupBy("id").agg(F.sum("n").alias("n"))
     final = common.store(
         components(verified.filter("root >= 0").select(F.col("id").alias("u"), F.col("root").alias("v")))

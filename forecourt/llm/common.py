@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -54,6 +55,22 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def filtered_joins(spark: SparkSession):
+    """Within, Spark filters the large side of a shuffled join of any size by a Bloom filter.
+
+    The filter is Spark's own, of bounded size, built from the keys of the other side where a
+    condition narrows that. It saves moving rows that cannot match; where it is full it saves less.
+    """
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions_for(df: DataFrame, column: str, bytes_each: int) -> int:
     """How many parts of about bytes_each the column makes."""
     total = df.agg(F.sum(F.octet_length(F.col(column)))).head()[0] or 0
