@@ -38,12 +38,11 @@ def _unit(batches):
             if i is None or not own or any(x is None for x in own):
                 continue
             vector = np.array(own, np.float64)
-            with np.errstate(all="ignore"):
-                norm = np.linalg.norm(vector)
-            if not np.isfinite(vector).all() or norm == 0:
+            largest = np.abs(vector).max()
+            if not np.isfinite(vector).all() or largest == 0:
                 continue
-            if not np.isfinite(norm) or norm < 1e-150:
-                vector = vector / np.abs(vector).max()
+            if not 1e-100 < largest < 1e100:  # its square, or that of a vector near it, may not fit
+                vector = vector / largest
             data = vector.tobytes()
             mark = np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), np.int64)
             ids.append(i)
