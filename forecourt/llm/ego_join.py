@@ -3,11 +3,17 @@
 Unit vectors have cosine c or more exactly if their distance is at most eps =
 sqrt(2 - 2 c). Vectors are projected on their leading principal dimensions (from a bounded
 sample: any orthonormal basis is correct, a good one prunes more), sorted by the grid
-cells of width eps, and cut into blocks, intervals of the sequence. Pairs of intervals are
-split level by level, FAN parts each, and dropped where their bounding boxes lie farther
-apart than eps: projected distances never exceed true ones. The pairs of blocks that are
-left are compared in double precision, one row each. A block pair returns link counts and
-a spanning forest, never the links. Equal vectors are one row with a weight before all this.
+cells of width eps, and cut into blocks, intervals of the sequence. The length of the rest of
+a vector is one more coordinate: distances of these coordinates never exceed true ones.
+Pairs of intervals are split level by level, FAN parts each, and dropped where their bounding
+boxes lie farther apart than eps. The block pairs left of one pair of FAN blocks meet in one
+group, so a block travels once per such pair. A group is at most 2 * FAN blocks of at most
+BLOCK vectors or BLOCK_BYTES. There the recursion goes on to intervals of LEAF vectors, and
+what is left is compared in double precision. A group returns link counts and a spanning
+forest, never the links. Equal vectors are one row with a weight before all this.
+
+Vectors spread evenly over many dimensions have no empty space between their boxes; nothing
+can be dropped there, and the work grows with the square of their number.
 
 Vectors that are null, zero or hold null or non-finite components link with nothing, and
 neither do vectors of different length. Rows without vec_id link with nothing. Repeated
@@ -20,13 +26,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm import common
 from forecourt.llm.components import components, forest
 
-COSINE, DIMENSIONS, BLOCK, SAMPLE, FAN = 0.95, 6, 2048, 2048, 4
+COSINE, DIMENSIONS, BLOCK, SAMPLE, FAN, LEAF = 0.95, 12, 2048, 2048, 8, 64
+BLOCK_BYTES = 1 << 22
 SLACK = 1e-6
 
 
@@ -68,11 +75,24 @@ def _matrix(raw: list[bytes], width: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _coordinates(unit: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Projections on the basis and the length of the rest."""
+    at = unit @ basis
+    rest = np.sqrt(np.maximum(0, 1 - (at * at).sum(1)))
+    return np.column_stack([at, rest])
+
+
+def _apart(lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
+    """Squared distances of boxes, or of points where lo and hi are the same."""
+    gap = np.maximum(0, np.maximum(lo_a - hi_b, lo_b - hi_a))
+    return (gap * gap).sum(-1)
+
+
 def _cells(basis: np.ndarray, width: int, eps: float):
     def run(batches):
         for batch in batches:
             raw = batch.column("raw").to_pylist()
-            at = _matrix(raw, width) @ basis if raw else np.zeros((0, basis.shape[1]))
+            at = _coordinates(_matrix(raw, width), basis)
             cells = np.floor(at / eps).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(x) for x in ("id", "weight", "size", "raw")]
@@ -133,37 +153,85 @@ BLOCKS = (
 )
 
 
-def _compare(width: int, cosine: float):
-    def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                own = {x: batch.column(x)[row].as_py() for x in batch.schema.names}
-                ids, weight, size = (
-                    [np.array(own[f"{s}_{x}"]) for s in "ab"] for x in ("ids", "weights", "sizes")
-                )
-                a, b = (_matrix(own[f"{s}_raws"], width) for s in "ab")
-                near = (a @ b.T >= cosine) & (size[0][:, None] == size[1][None, :])
-                if own["a"] == own["b"]:
-                    near = np.triu(near, 1)
-                u, v = np.nonzero(near)
-                count = [np.bincount(u, weight[1][v], len(a)), np.bincount(v, weight[0][u], len(b))]
-                names, root = forest(ids[0][u], ids[1][v])
-                out_id = np.concatenate([ids[0][count[0] > 0], ids[1][count[1] > 0], names])
-                n = np.concatenate([count[0][count[0] > 0], count[1][count[1] > 0], 0 * names])
-                where = np.concatenate([np.full(len(out_id) - len(names), -1), root])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(out_id.astype(np.int64)),
-                        pa.array(n.astype(np.int64)),
-                        pa.array(where.astype(np.int64)),
-                        pa.array(np.arange(len(out_id)) >= len(out_id) - len(names)),
-                    ],
-                    ["id", "n", "root", "link"],
-                )
+class Block:
+    """Unit vectors of an interval, with the boxes of its leaves."""
+
+    def __init__(self, row: dict, basis: np.ndarray, width: int):
+        self.ids, self.weight, self.size = (np.array(row[x]) for x in ("ids", "weights", "sizes"))
+        self.unit = _matrix(row["raws"], width)
+        self.at = _coordinates(self.unit, basis)
+        self.start = np.arange(0, len(self.ids), LEAF)
+        self.leaf = np.arange(len(self.ids)) // LEAF
+        self.lo = np.minimum.reduceat(self.at, self.start)
+        self.hi = np.maximum.reduceat(self.at, self.start)
+
+
+def _links(a: Block, b: Block, cosine: float, eps: float):
+    """(places in a, places in b) of the links between two blocks; within one block each once."""
+    found, bound = [], (eps + SLACK) ** 2
+    for i, start in enumerate(a.start.tolist()):
+        rows = slice(start, start + LEAF)
+        near = _apart(a.lo[i], a.hi[i], b.lo, b.hi) <= bound
+        if a is b:
+            near[:i] = False
+        at = np.flatnonzero(near[b.leaf])
+        if len(at):
+            at = at[_apart(a.lo[i], a.hi[i], b.at[at], b.at[at]) <= bound]
+        if not len(at):
+            continue
+        hit = (a.unit[rows] @ b.unit[at].T >= cosine) & (a.size[rows, None] == b.size[at])
+        u, v = np.nonzero(hit)
+        u, v = u + start, at[v]
+        if a is b:
+            u, v = u[u < v], v[u < v]
+        found.append((u, v))
+    none = np.zeros(0, np.int64)
+    return [np.concatenate([none, *x]) for x in (zip(*found, strict=True) if found else [(), ()])]
+
+
+def _compare(basis: np.ndarray, width: int, cosine: float, eps: float):
+    """Link counts and a forest of the block pairs of one group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = {row["number"]: row for row in group.to_pylist()}
+        blocks = {number: Block(row, basis, width) for number, row in rows.items()}
+        ids, counts, ends = [], [], [[], []]
+        for number, row in rows.items():
+            for partner in row["partners"]:
+                a, b = blocks[number], blocks[partner]
+                u, v = _links(a, b, cosine, eps)
+                for own, other, x, y in ((a, b, u, v), (b, a, v, u)):
+                    n = np.bincount(x, other.weight[y], len(own.ids)).astype(np.int64)
+                    ids.append(own.ids[n > 0])
+                    counts.append(n[n > 0])
+                # links of a pair are folded at once: what is held is a forest
+                names, root = forest(a.ids[u], b.ids[v])
+                ends[0].append(names)
+                ends[1].append(root)
+        none = np.zeros(0, np.int64)
+        linked, n = np.concatenate([none, *ids]), np.concatenate([none, *counts])
+        names, root = forest(*(np.concatenate([none, *x]) for x in ends))
+        return pa.table(
+            {
+                "id": pa.array(np.concatenate([linked, names]), pa.int64()),
+                "n": pa.array(np.concatenate([n, 0 * names]), pa.int64()),
+                "root": pa.array(np.concatenate([np.full(len(linked), -1), root]), pa.int64()),
+                "link": pa.array(np.arange(len(linked) + len(names)) >= len(linked)),
+            }
+        )
 
     return run
 
 
+def _groups(pairs: DataFrame) -> DataFrame:
+    """(ta, tb, number, partners): the blocks of every group and whom each is compared with."""
+    own = pairs.select(F.floor(F.col("a") / FAN).alias("ta"), F.floor(F.col("b") / FAN).alias("tb"), "a", "b")
+    sides = own.select("ta", "tb", F.col("a").alias("number"), F.col("b").alias("partner")).unionByName(
+        own.select("ta", "tb", F.col("b").alias("number"), F.lit(None).cast("long").alias("partner"))
+    )
+    return sides.groupBy("ta", "tb", "number").agg(F.collect_list("partner").alias("partners"))
+
+
 def near_blocks(boxes: DataFrame, count: int, eps: float, fan: int = FAN) -> DataFrame:
     """(a, b), a <= b: numbers of blocks whose boxes (number, lo, hi) may hold neighbours.
 
@@ -176,7 +244,7 @@ def near_blocks(boxes: DataFrame, count: int, eps: float, fan: int = FAN) -> Dat
 
     def intervals(k):
         own = boxes.select(F.floor(F.col("number") / fan**k).cast("long").alias("i"), "lo", "hi")
-        dims = range(DIMENSIONS)
+        dims = range(DIMENSIONS + 1)
         return own.groupBy("i").agg(
             F.array(*[F.min(F.col("lo")[d]) for d in dims]).alias("lo"),
             F.array(*[F.max(F.col("hi")[d]) for d in dims]).alias("hi"),
@@ -234,27 +302,27 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
         _cells(basis, width, eps),
         "id long, weight long, size int, raw binary, cells array<int>, at array<double>",
     )
-    parts = max(1, -(-n // (8 * block)))
+    block = max(1, min(block, BLOCK_BYTES // (8 * width)))
+    parts = max(1, -(-n // (FAN * block)))
     stored = common.store(
         placed.repartitionByRange(parts, "cells", "id")
         .sortWithinPartitions("cells", "id")
         .mapInArrow(_blocks(block), BLOCKS),
         "blocks",
     )
-    numbers = stored.select("block", (F.row_number().over(Window.orderBy("block")) - 1).cast("long").alias("number"))
-    stored = common.store(stored.join(numbers, "block"), "numbered")
-    count = stored.count()
-    pairs = near_blocks(stored.select("number", "lo", "hi"), count, eps)
-    sides = [
-        stored.select(
-            F.col("number").alias(s), *(F.col(x).alias(f"{s}_{x}") for x in ("ids", "weights", "sizes", "raws"))
-        )
-        for s in "ab"
-    ]
+    # blocks are numbered by part and place in it; numbers may be left out
+    part, place = F.shiftright("block", 32), F.col("block").bitwiseAND((1 << 32) - 1)
+    most, stride = stored.agg(F.max(place)).head()[0] or 0, 1
+    while stride <= most:
+        stride *= FAN
+    stored = stored.withColumn("number", part * stride + place)
+    last = stored.agg(F.max("number")).head()[0] or 0
+    pairs = near_blocks(stored.select("number", "lo", "hi"), last + 1, eps)
     found = common.store(
-        pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(
-            _compare(width, cosine), "id long, n long, root long, link boolean"
-        ),
+        _groups(pairs)
+        .join(stored.select("number", "ids", "weights", "sizes", "raws"), "number")
+        .groupBy("ta", "tb")
+        .applyInArrow(_compare(basis, width, cosine, eps), "id long, n long, root long, link boolean"),
         "found",
     )
     counts = found.filter("not link").groupBy("id").agg(F.sum("n").alias("n"))

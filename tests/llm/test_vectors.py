@@ -75,3 +75,29 @@ def test_small_buckets_still_find_all_links(spark, monkeypatch):
     monkeypatch.setattr(chosen_path.candidate_links, "__defaults__", (chosen_path.RUNS, 6, None))
     got = {r.doc_id: r.n_links for r in chosen_path.similarity_join(docs).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_distant_blocks_are_never_paired(spark):
+    """Boxes in a row, 0.25 apart, with gaps in their numbers: neighbours within 0.3 only."""
+    flat = [0.0] * ego_join.DIMENSIONS
+    places = [i for i in range(70) if i % 9 != 4]
+    boxes = spark.createDataFrame(
+        [(i, [0.25 * i, *flat], [0.25 * i + 0.01, *flat]) for i in places],
+        "number long, lo array<double>, hi array<double>",
+    )
+    got = {(r.a, r.b) for r in ego_join.near_blocks(boxes, 70, 0.3).collect()}
+    assert got == {(a, b) for a in places for b in (a, a + 1) if b in places}
+
+
+def test_clusters_over_many_blocks_and_groups(spark, monkeypatch):
+    """Blocks of eight and leaves of three, so that every level of the recursion skips something."""
+    monkeypatch.setattr(ego_join, "LEAF", 3)
+    rng = random.Random(11)
+    centres = [[rng.gauss(0, 1) for _ in range(20)] for _ in range(60)]
+    rows = []
+    for i in range(700):
+        rows.append((i, [x + rng.gauss(0, 0.15) for x in centres[i % 5 if i < 230 else rng.randrange(60)]]))
+    rows += [(1000 + i, list(rows[3][1])) for i in range(20)]
+    df = spark.createDataFrame([(*row, "x", "y") for row in rows], ROWS).repartition(3)
+    got = ego_join.near_vectors(df, block=8)
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()) == brute(rows)
