@@ -15,7 +15,7 @@ of the longest n-gram that ends with it and is in the tables over the count of i
 context, times ALPHA for each word of context given up; a single word counts against all
 words. A document's score is the mean decimal logarithm, 0 for a text without words (null
 and empty ones). Repeated rows count and are scored as documents of their own; a null
-doc_id changes nothing.
+doc_id changes nothing. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ past it, so the tokens outside the window are those of the joined text. A side w
 such a place is encoded again as a whole. Decoding concatenates bytes up the same tree.
 
 Texts are independent, so Spark deals them out as it reads them; nothing is shuffled.
-Null texts count as empty and give no tokens. Each input row gives one row.
+Null texts count as empty and give no tokens. Each input row gives one row, repeated ones equal
+rows; an empty table gives none. A long text takes one task, in memory proportional to it.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ A class is known by its shingles, not by a doc_id: texts that share a doc_id are
 Result: one row per document with the number of documents it is linked to (copies
 included) and its class: the smallest doc_id reachable by links. Texts without words,
 null among them, link with nothing. Rows without a doc_id are reported with no links and
-no class. Repeated rows count as documents of their own.
+no class. Repeated rows count as documents of their own. A text is cut into shingles by one task,
+however long. An empty table gives an empty result.
 """
 
 from __future__ import annotations

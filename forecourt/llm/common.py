@@ -132,6 +132,21 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def matrix_powers(step: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """step ** t for each t, each scaled to at most 1, by squaring: no bound on t."""
+    wanted, at = np.unique(times, return_inverse=True)
+    out = np.broadcast_to(np.eye(len(step)), (len(wanted), *step.shape)).copy()
+    square, left = step / step.max(), wanted.copy()
+    while left.any():
+        odd = (left & 1).astype(bool)
+        out[odd] = out[odd] @ square
+        out[odd] /= out[odd].max((1, 2), keepdims=True)
+        square = square @ square
+        square /= square.max()
+        left >>= 1
+    return out[at]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

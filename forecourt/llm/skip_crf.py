@@ -17,6 +17,7 @@ of shape features, pair potentials from counts against chance. Longer texts are
 the training only; spans are found in all texts, whole.
 
 Null and empty texts have no spans. Rows are independent: repeated ones give equal rows.
+An empty table trains a field without tokens and gives an empty result.
 """
 
 from __future__ import annotations
@@ -174,11 +175,7 @@ class Field:
     def across(self, gap: np.ndarray) -> np.ndarray:
         """Potential between neighbours with gap plain words between them."""
         step = self.transition * self.plain[None]
-        powers = [self.transition / self.transition.max()]
-        for _ in range(32):
-            powers.append(step @ powers[-1])
-            powers[-1] /= powers[-1].max()
-        return np.array(powers)[np.minimum(gap, 32)]
+        return common.matrix_powers(step, gap) @ (self.transition / self.transition.max())
 
     def marginals(self, n: Nodes, rounds: int = ROUNDS) -> np.ndarray:
         """Loopy sum-product: P(label) per token."""

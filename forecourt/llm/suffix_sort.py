@@ -18,7 +18,9 @@ unbounded group; at a single distance a group is one piece.
 
 Null and empty texts keep nothing and lose nothing. A repeated row is another place for
 all its strings. Strings never cross from one text to another. Rows are told apart by
-doc_id and a hash of the text; a null doc_id is an identifier like any other.
+doc_id and a hash of the text; a null doc_id is an identifier like any other. An empty table
+gives an empty result. A place takes POSITION_BITS bits, as many as the longest string in
+Spark needs; of two hashes that agree in the other bits the one to the left counts.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from forecourt.llm import common
 
 LENGTH, GRAM, SMALL = 400, 200, 256
 SORTED_BYTES = 1 << 19
-POSITION_BITS = 28
+POSITION_BITS = 31
 
 
 class Prefix:

@@ -21,7 +21,8 @@ Blocks end where block-level tags begin or end; other tags and line breaks do no
 block. Character references are decoded after tags are removed, white space becomes one
 space, blocks are joined by two line breaks. Unclosed tags close with their parents; a tag
 that the page cuts off is dropped. Null html gives an empty text, a null or odd url its
-own host. Each row gives one row.
+own host. Each row gives one row, repeated ones equal rows; an empty table gives none. A page is
+read whole by one task, however long.
 """
 
 from __future__ import annotations

@@ -16,7 +16,11 @@ and the chain shortens to the few tokens that matter. All texts of a batch advan
 together. Scoring needs no shuffle.
 
 Null and empty texts get the score of a text without toxic tokens. Rows without a doc_id
-are scored, not held out and never trained on. Without usable labels the score is 0.
+are scored, not held out and never trained on. A doc_id that is labelled both ways is toxic.
+Repeated rows are scored each; of rows that share a doc_id training takes the smallest text.
+Texts of TRAIN_BYTES bytes or more are left out of the training only, so at most 2 * SAMPLE *
+TRAIN_BYTES bytes reach the driver; scoring takes all texts, whole. Without usable labels the
+score is 0.000001. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from forecourt.llm import common
 SAMPLE, MIN_DOCS, MIN_SHARE, PURITY, STEPS, BLOCK = 2000, 4, 0.005, 0.8, 100, 100
 PREFIXES = (3, 4, 5, 6, 7)
 REJECT_AT = 0.3
-POWERS = 256
+TRAIN_BYTES = 100_000
 
 
 @dataclass
@@ -48,15 +52,9 @@ class Field:
     transition: np.ndarray
     document: np.ndarray
 
-    def runs(self) -> np.ndarray:
-        """(transition x potential of a plain token) ** g, each scaled to at most 1."""
-        step = self.transition * np.array([1.0, np.exp(self.bias)])
-        out = np.empty((POWERS, 2, 2))
-        out[0] = np.eye(2)
-        for g in range(1, POWERS):
-            out[g] = out[g - 1] @ step
-            out[g] /= out[g].max()
-        return out
+    def runs(self, gap: np.ndarray) -> np.ndarray:
+        """(transition x potential of a plain token) ** gap, each scaled to at most 1."""
+        return common.matrix_powers(self.transition * np.array([1.0, np.exp(self.bias)]), gap)
 
 
 def _token_features(words: common.Words) -> np.ndarray:
@@ -84,10 +82,9 @@ def _marginals(field: Field, potential, gap, first) -> np.ndarray:
     n = len(potential)
     if not n:
         return np.zeros(0)
-    runs = field.runs()
     between = field.transition[None] * 1.0
     # from one known token to the next: across the plain run, then the last transition
-    step = runs[np.minimum(gap, POWERS - 1)] @ between
+    step = field.runs(gap) @ between
     phi = np.stack([np.ones(n), np.exp(potential)], 1)
     starts = np.flatnonzero(first)
     length = np.diff(np.append(starts, n))
@@ -252,7 +249,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     if chosen:
         of = {i: (toxic, share) for i, toxic, share in chosen}
         picked = docs.sparkSession.createDataFrame([(i,) for i in of], "doc_id long")
-        found = common.texts(docs).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+        short = common.texts(docs).filter(F.octet_length("text") < TRAIN_BYTES)
+        found = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
         rows = sorted(
             (r["doc_id"], r["text"]) for r in found.toLocalIterator()
         )
