@@ -65,3 +65,18 @@ def test_topic_needs_the_connector(spark):
         streaming.read_topic(spark, "broker:9092")
     with pytest.raises(PySparkException, match="(?i)kafka"):
         sinks.send_kafka(sinks.keyed_messages(listings(spark)), "broker:9092", topic=spec.TOPIC)
+
+
+def test_message_files_are_compressed(spark, tmp_path):
+    plain, keyed = str(tmp_path / "plain"), str(tmp_path / "keyed")
+    many = listings(spark, 2000)
+    sinks.send_files(sinks.keyed_messages(many), plain)
+    judged = many.withColumn("error", F.lit(None).cast("string"))
+    sinks.send_keyed_files(sinks.routed_messages(judged), keyed, run="one")
+    sent = sinks.keyed_messages(many)
+    size = sent.agg(F.sum(F.length("value"))).first()[0]
+    for root, pattern in ((tmp_path / "plain", "part-*"), (tmp_path / "keyed", "topic=*/one-part-*")):
+        files = list(root.glob(pattern))
+        assert files and sum(x.stat().st_size for x in files) < size / 4
+    assert rows(spark.read.text(plain)) == rows(sent.select("value"))
+    assert rows(spark.read.json(f"{keyed}/topic={spec.TOPIC}").select("key", "value")) == rows(sent)
