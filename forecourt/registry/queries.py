@@ -469,7 +469,8 @@ def _csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch.new_dir(spark, "csv")
     writer = adapter.listings(spark, sf_dir).select(*RAW_COLUMNS).write
     writer.options(
-        header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+        compression="gzip",
     ).csv(path)
     return path
 

@@ -167,3 +167,29 @@ def test_clustered_silver_reads_fewer_rows(spark, tmp_path):
         spark._jsc.hadoopConfiguration().unset("parquet.block.size")
         assert with_small_groups is None
     assert scanned["plain"] == 200_000 and scanned["clustered"] < 50_000
+
+
+def test_listings_csv_is_compressed_and_read_back(spark, tmp_path):
+    from datetime import datetime
+
+    from forecourt.registry import queries
+
+    day = datetime(1998, 5, 1)
+    lines = [(o, 7, 3, n, 2.0, 100.5, 0.0, 0.0, "N", "O", day) for o in range(300) for n in (1, 2)]
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(o, o % 5, 9000.0) for o in range(300)], "o_orderkey long, o_custkey long, o_totalprice double"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(
+        [(7, " a, b ", "Brand#1")], "p_partkey long, p_name string, p_brand string"
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    path = queries._csv(spark, str(tmp_path))
+    files = [x for x in spark.read.format("binaryFile").load(path).select("path").collect()]
+    assert files and all(x.path.endswith(".csv.gz") for x in files)
+    back = sources.read_raw_csv(spark, path)
+    assert back.count() == 600 and back.select("model").distinct().collect()[0][0] == " a, b  "
