@@ -29,13 +29,3 @@ def unmatched(target: DataFrame, source: DataFrame, key: str = "id") -> DataFram
     replaced = source.select(key).filter(has_key)
     kept = target.filter(has_key).join(replaced, key, "left_anti").select(target.columns)
     return kept.unionByName(target.filter(~has_key))
-
-
-def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
-    """Keys that occur more than once; counted map-side first, so a hot key is one row per task."""
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-    )

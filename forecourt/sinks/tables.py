@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt import commits
 from forecourt.commits import BUCKET, Snapshot, TypeClash
-from forecourt.operators.upsert import duplicate_keys, unmatched
-from forecourt.sinks.counting import counted
+from forecourt.sinks.counting import counted, observed
 from forecourt.sources.catalog import register_location, show_table, table_exists
 
 __all__ = ["DuplicateKeys", "Merge", "TypeClash", "merge_into", "publish_lasting_view",
@@ -21,6 +20,9 @@ BUCKETS = 16
 # Folders of one bucket before an upsert that touches it writes it anew as a whole.
 MOST_PARTS = 8
 ATTEMPTS = 5
+# Keys of a source that are compared first, without a shuffle.
+SOME_KEYS = 20_000
+_SLICE, _NEW, _NTH = "in_slice_of_bucket", "from_source", "copy_of_key"
 
 
 class DuplicateKeys(Exception):
@@ -109,23 +111,23 @@ def merge_into(
     if base:
         commits.widened(base.schema, source.schema)
     own, n = commits.new_write(), base.buckets if base else buckets
-    rows = _write(source, f"{root}/data/{own}", key, n)
+    rows, copies = _write(source, f"{root}/data/{own}", key, n)
+    if copies > 1:
+        raise DuplicateKeys(f"{key} is not unique in the rows to merge into {root}")
     added = commits.written_buckets(spark, root, own)
     written = commits.read_folders(
         spark, root, [commits.folder(b, own) for b in added], source.schema
     )
-    if not duplicate_keys(written, key).isEmpty():
-        raise DuplicateKeys(f"{key} is not unique in the rows to merge into {root}")
 
     for _ in range(ATTEMPTS):
         base = commits.latest(spark, root)
         if base and base.buckets != n:
             raise commits.Conflict(f"{root} has been created with {base.buckets} buckets meanwhile")
-        anew = _to_rewrite(spark, root, base, written, added, key) if base else []
+        anew = _to_rewrite(spark, root, base, written, added, key, rows) if base else []
         again = commits.new_write()
         if anew:
             old = commits.read_folders(spark, root, anew, base.schema)
-            _write(unmatched(old, written, key), f"{root}/data/{again}", key, n)
+            _store(_left(old, written, key, n), f"{root}/data/{again}")
         copied = commits.written_buckets(spark, root, again)
 
         def change(newest: Snapshot | None) -> Snapshot | None:
@@ -162,16 +164,54 @@ class _Overtaken(Exception):
     """Another writer has changed a bucket that this one has read."""
 
 
-def _write(df: DataFrame, path: str, key: str, buckets: int) -> int:
-    # Rebalanced: few files a bucket, and a large bucket is still split over tasks.
-    placed = df.withColumn(BUCKET, commits.bucket_of(F.col(key), buckets))
-    return counted(
-        placed.hint("rebalance", BUCKET), lambda rows: rows.write.partitionBy(BUCKET).parquet(path)
+def _write(df: DataFrame, path: str, key: str, buckets: int) -> tuple[int, int]:
+    """Rows written, and how many of them the most frequent key has."""
+    nth = F.row_number().over(Window.partitionBy(BUCKET, _SLICE, key).orderBy(key))
+    found = observed(
+        _dealt(df, key, buckets).withColumn(_NTH, F.when(F.col(key).isNotNull(), nth)),
+        lambda rows: _store(rows.drop(_SLICE, _NTH), path),
+        rows=F.count(F.lit(1)),
+        copies=F.max(_NTH),
+    )
+    return found["rows"], found["copies"] or 0
+
+
+def _store(placed: DataFrame, path: str) -> None:
+    placed.write.partitionBy(BUCKET).parquet(path, compression="zstd")
+
+
+def _dealt(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows by bucket and slice, for a write with few files a bucket.
+
+    A slice is a share of a bucket that one task can take. Rows with one key are in one slice, so
+    that keys can be compared there without a second shuffle; those without a key are spread.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = 2 * -(-parts // buckets)
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    spread = F.xxhash64(F.lit(_SLICE), *(F.col(f"`{c}`") for c in plain))
+    own = F.when(F.col(key).isNull(), spread).otherwise(F.xxhash64(F.lit(_SLICE), F.col(key)))
+    return df.withColumns(
+        {BUCKET: commits.bucket_of(F.col(key), buckets), _SLICE: F.pmod(own, F.lit(slices))}
+    ).repartition(BUCKET, _SLICE)
+
+
+def _left(old: DataFrame, written: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows of ``old``, all of them with a key, that ``written`` does not replace, in their buckets."""
+    replaced = written.select(key).filter(F.col(key).isNotNull()).withColumn(_NEW, F.lit(True))
+    both = old.withColumn(_NEW, F.lit(False)).unionByName(replaced, allowMissingColumns=True)
+    same_key = Window.partitionBy(BUCKET, _SLICE, key)
+    return (
+        _dealt(both, key, buckets)
+        .withColumn(_NEW, F.max(_NEW).over(same_key) | F.col(_NEW))
+        .filter(~F.col(_NEW))
+        .drop(_NEW, _SLICE)
     )
 
 
 def _to_rewrite(
-    spark: SparkSession, root: str, base: Snapshot, written: DataFrame, added: list[int], key: str
+    spark: SparkSession, root: str, base: Snapshot, written: DataFrame, added: list[int], key: str,
+    rows: int,
 ) -> list[str]:
     """Folders of the target that hold a key of the source, or belong to a crowded bucket."""
     keyed = [b for b in added if b != base.buckets]
@@ -180,9 +220,19 @@ def _to_rewrite(
         return []
     only_key = T.StructType([base.schema[key]])
     where = F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+/[^/]+)/[^/]+$", 1)
-    keys = commits.read_folders(spark, root, list(parts), only_key).select(key, where.alias("part"))
-    hit = keys.join(written.select(key), key, "left_semi").select("part").distinct()
-    found = {row["part"] for row in hit.collect()}  # folders, not rows
+
+    def keys(folders: list[str]) -> DataFrame:
+        return commits.read_folders(spark, root, folders, only_key).select(key, where.alias("part"))
+
+    def hit(some: DataFrame, new: DataFrame) -> set[str]:
+        rows = some.join(new.select(key), key, "left_semi").select("part").distinct().collect()
+        return {row["part"] for row in rows}  # folders, not rows
+
+    # some keys show most folders that have to be written anew; the others are compared whole
+    found = hit(keys(list(parts)), F.broadcast(written.sample(min(1.0, SOME_KEYS / max(rows, 1)), 7)))
+    unknown = [x for x in parts if x not in found]
+    if unknown and rows > SOME_KEYS:
+        found |= hit(keys(unknown), written)
     for b in keyed:
         own = [x for x, bucket in parts.items() if bucket == b]
         if len(own) + 1 + any(x in found for x in own) > MOST_PARTS:
