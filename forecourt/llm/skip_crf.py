@@ -10,11 +10,10 @@ with the pairs. Loopy sum-product passes messages over both kinds of edges for R
 rounds; all texts of a batch form one graph without edges between texts. Tokens whose
 marginal for a kind reaches SURE and that no base span touches become further spans.
 
-The field is trained piecewise on at most SAMPLE documents whose text holds a digit or @,
-with or without base spans, and has fewer than TRAIN_BYTES bytes (those with the smallest
-hash of doc_id and text), labelled by the base spans: token potentials as a softmax model
-of shape features, pair potentials from counts against chance. Longer texts are left out of
-the training only; spans are found in all texts, whole.
+The field is trained piecewise on every whole text that holds a digit or @, with or without
+base spans, labelled by the base spans: token potentials as a softmax model of shape features,
+pair potentials from counts against chance. Tokens with equal features and labels are counted
+together first, so that the steps of the training follow the kinds of tokens.
 
 Null and empty texts have no spans. Rows are independent: repeated ones give equal rows.
 An empty table trains a field without tokens and gives an empty result.
@@ -38,10 +37,10 @@ from forecourt.llm import common
 
 # The kinds in the order they are listed.
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, ROUNDS, SURE, STEPS = 1500, 8, 0.95, 150
-TRAIN_BYTES = 100_000
+ROUNDS, SURE, STEPS = 8, 0.95, 150
 TABLE = 1 << 14
 GRAPH_CHARS = 2_000_000
+PAIR, SKIP = -1, -2
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -223,41 +222,80 @@ def _against_chance(pairs: np.ndarray) -> np.ndarray:
     return np.clip((pairs + 0.5) / (chance + 0.5), 0.02, 50)
 
 
-def fit(texts: list[str]) -> Field:
-    """Piecewise training on texts labelled by their base spans."""
+def _folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, counts): what training needs of some texts, equal ones counted.
+
+    A row is the features and the label of a token, or PAIR or SKIP and two labels.
+    """
     n = nodes(texts)
-    weights = np.zeros((TABLE, 5))
     y = _labels(n, [base_spans(x) for x in texts])
+    tokens = np.concatenate([n.features, y[:, None]], 1)
+    near, far = np.flatnonzero(n.gap == 0), np.flatnonzero(n.skip >= 0)
+    edges = []
+    for kind, a, b in ((PAIR, y[near - 1], y[near]), (SKIP, y[n.skip[far]], y[far])):
+        row = np.zeros((len(a), 7), np.int64)
+        row[:, 0], row[:, 1], row[:, 6] = kind, a, b
+        edges.append(row)
+    return np.unique(np.concatenate([tokens, *edges]), axis=0, return_counts=True)
+
+
+def _fitted(rows: np.ndarray, times: np.ndarray) -> Field:
+    """Piecewise training on folded rows in a fixed order."""
+    token = rows[:, 0] >= 0
+    features, y, own_times = rows[token, :6], rows[token, 6], times[token].astype(float)
+    weights = np.zeros((TABLE, 5))
     onehot = np.eye(5)[y]
-    used, at = np.unique(n.features, return_inverse=True)
-    at = at.reshape(n.features.shape)
+    used, at = np.unique(features, return_inverse=True)
+    at = at.reshape(features.shape)
     own, square = np.zeros((len(used), 5)), np.full((len(used), 5), 1e-6)
     for _ in range(STEPS if len(y) else 0):
         z = own[at].sum(1)
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        slope = -1e-3 * own * len(y) / max(len(used), 1)
-        np.add.at(slope, at.ravel(), np.repeat(onehot - p, at.shape[1], 0))
+        slope = -1e-3 * own * own_times.sum() / max(len(used), 1)
+        np.add.at(slope, at.ravel(), np.repeat((onehot - p) * own_times[:, None], at.shape[1], 0))
         square += slope**2
         own += 0.3 * slope / np.sqrt(square)
     weights[used] = own
     pairs, skips = np.eye(5), np.eye(5)
-    near = np.flatnonzero(n.gap == 0)
-    np.add.at(pairs, (y[near - 1], y[near]), 1)
-    far = np.flatnonzero(n.skip >= 0)
-    np.add.at(skips, (y[n.skip[far]], y[far]), 1)
+    for kind, counts in ((PAIR, pairs), (SKIP, skips)):
+        edge = rows[:, 0] == kind
+        np.add.at(counts, (rows[edge, 1], rows[edge, 6]), times[edge])
     return Field(weights, _against_chance(pairs), np.array([1, 0.01, 0.01, 0.01, 0.01]), _against_chance(skips))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, train_bytes: int = TRAIN_BYTES) -> Field:
-    """Fit on at most `sample` documents whose text holds a digit or @, in fewer than train_bytes bytes."""
-    some = (
-        common.texts(docs)
-        .filter(F.col("text").rlike("[0-9@]") & (F.octet_length("text") < train_bytes))
-        .withColumn("hash", F.xxhash64("doc_id", "text"))
-    )
-    some = common.lowest(some, "hash", sample).select("text")
-    return fit(sorted(r["text"] for r in some.collect()))
+def fit(texts: list[str]) -> Field:
+    """Piecewise training on texts labelled by their base spans."""
+    return _fitted(*_folded(texts))
+
+
+def train(docs: DataFrame) -> Field:
+    """Fit on every whole text that holds a digit or @.
+
+    Tokens are labelled and folded where the texts are; equal rows of features, of which there
+    are few kinds, are counted by Spark, and only the kinds and their numbers reach the driver.
+    """
+
+    def run(batches):
+        for batch in batches:
+            texts, part, size = batch.column("text").to_pylist(), [], 0
+            for k, text in enumerate(texts):
+                part.append(text)
+                size += len(text)
+                if size > GRAPH_CHARS or k == len(texts) - 1:
+                    rows, times = _folded(part)
+                    columns = [pa.array(np.ascontiguousarray(x)) for x in rows.T]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(times)], [*names, "times"])
+                    part, size = [], 0
+
+    names = [f"f{k}" for k in range(7)]
+    some = common.texts(docs).filter(F.col("text").rlike("[0-9@]")).select("text")
+    folded = some.mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "times"]))
+    total = folded.groupBy(*names).agg(F.sum("times").alias("times"))
+    found = total.toArrow()
+    rows = np.stack([found.column(x).to_numpy() for x in names], 1).astype(np.int64)
+    order = np.lexsort(rows.T[::-1])
+    return _fitted(rows[order], found.column("times").to_numpy()[order])
 
 
 def find(field: Field, texts: list[str]) -> list[tuple[list, list]]:

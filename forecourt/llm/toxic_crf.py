@@ -2,13 +2,12 @@
 
 Tokens are words (runs of letters and digits) with labels clean and toxic. A token's
 features are its lower-cased word and its first 3 to 7 bytes; the strongest known one is
-active. Training reads the labelled
-documents outside the held-out fold, at most SAMPLE of each class, those with the smallest
-hash of doc_id. A token of a toxic document is labelled toxic if one of its features
-occurs in at least MIN_DOCS sampled documents (and MIN_SHARE of the toxic ones) and almost
-only in toxic ones. The field is trained piecewise: the token potential as a logistic model, the transition potential from
-label pairs against chance. Document features made of the marginals feed a logistic model
-that gives the score; class weights undo the sampling.
+active. Training reads all labelled documents outside the held-out fold, each text whole; its
+steps are sums over them that Spark makes. A token of a toxic document is labelled toxic if one
+of its features occurs in at least MIN_DOCS toxic documents (and MIN_SHARE of them) and almost
+only in toxic ones. The field is trained piecewise: the token potential as a logistic model,
+the transition potential from label pairs against chance. Document features made of the
+marginals feed a logistic model that gives the score.
 
 Marginals come from forward-backward over each whole text. Tokens without a known feature
 all have the same potential, so a run of g of them is one matrix to the power g: exact,
@@ -18,9 +17,7 @@ together. Scoring needs no shuffle.
 Null and empty texts get the score of a text without toxic tokens. Rows without a doc_id
 are scored, not held out and never trained on. A doc_id that is labelled both ways is toxic.
 Repeated rows are scored each; of rows that share a doc_id training takes the smallest text.
-Texts of TRAIN_BYTES bytes or more are left out of the training only, so at most 2 * SAMPLE *
-TRAIN_BYTES bytes reach the driver; scoring takes all texts, whole. Without usable labels the
-score is 0.000001. An empty table gives an empty result.
+Without usable labels the score is 0.000001. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,15 +33,15 @@ from pyspark.sql.types import DoubleType
 
 from forecourt.llm import common
 
-SAMPLE, MIN_DOCS, MIN_SHARE, PURITY, STEPS, BLOCK = 2000, 4, 0.005, 0.8, 100, 100
+MIN_DOCS, MIN_SHARE, PURITY, STEPS, BLOCK = 4, 0.005, 0.8, 100, 1000
 PREFIXES = (3, 4, 5, 6, 7)
 REJECT_AT = 0.3
-TRAIN_BYTES = 100_000
+BLOCK_BYTES, POINTS = 1 << 20, 1_000_000
 
 
 @dataclass
 class Field:
-    """What the sample taught: feature hashes and weights, transitions, document model."""
+    """What training taught: feature hashes and weights, transitions, document model."""
 
     features: np.ndarray
     weights: np.ndarray
@@ -139,26 +136,39 @@ def _texts(batch_texts: list[str]):
     return common.buffers(pa.array(batch_texts, pa.string()))
 
 
-def _logistic(x, y, weight, steps=STEPS, ridge=1e-3) -> np.ndarray:
-    """Weighted logistic regression by Newton steps, halved until they help; few columns only."""
-    w = np.zeros(x.shape[1])
+def _parts(x, y, weight, w) -> np.ndarray:
+    """Loss, slope and bend of a weighted logistic model, one after the other, summed over rows."""
+    z = x @ w
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    loss = (weight * (np.logaddexp(0, z) - y * z)).sum()
+    bend = (x * (weight * p * (1 - p))[:, None]).T @ x
+    return np.concatenate([[loss], x.T @ (weight * (y - p)), bend.ravel()])
 
-    def loss(v):
-        z = x @ v
-        return (weight * (np.logaddexp(0, z) - y * z)).sum() + ridge / 2 * v @ v
 
-    now = loss(w)
+def _newton(sums, width: int, steps=STEPS, ridge=1e-3) -> np.ndarray:
+    """Logistic regression by Newton steps, halved until they help; few columns only.
+
+    sums(list of weights) gives _parts for each of them.
+    """
+
+    def judged(ws):
+        for w, v in zip(ws, sums(ws), strict=True):
+            bend = v[1 + width :].reshape(width, width) + ridge * np.eye(width)
+            yield w, v[0] + ridge / 2 * w @ w, v[1 : 1 + width] - ridge * w, bend
+
+    w, now, slope, bend = next(judged([np.zeros(width)]))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (y - p)) - ridge * w
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        move, size = np.linalg.solve(bend, slope), 1.0
-        while size > 1e-6 and loss(w + size * move) >= now:
-            size /= 2
-        if size <= 1e-6:
+        move, size, better = np.linalg.solve(bend, slope), 1.0, None
+        while better is None and size > 1e-6:
+            found = judged([w + size / 2**k * move for k in range(4)])
+            better = next((x for x in found if x[1] < now), None)
+            size /= 16
+        if better is None:
+            break
+        gain = now - better[1]
+        w, now, slope, bend = better
+        if gain < 1e-14 * now:
             break
-        w = w + size * move
-        now = loss(w)
     return w
 
 
@@ -177,52 +187,158 @@ def _constant(score: float) -> Field:
     return Field(none.astype(np.uint64), none, -8.0, np.ones((2, 2)), np.array([low, 0, 0, 0]))
 
 
-def fit(rows: list[str], toxic: np.ndarray, weight: np.ndarray) -> Field:
-    """A field from texts with labels 0 and 1 and the number of rows each stands for."""
-    if not len(rows) or toxic.min() == toxic.max():
-        return _constant(float(toxic.mean()) if len(rows) else 0.0)
-    blocks = [slice(a, a + BLOCK) for a in range(0, len(rows), BLOCK)]
-    # documents per feature of the toxic rows, each document once; then those of all rows
-    bad = [i for i in range(len(rows)) if toxic[i]]
-    found = []
-    for a in range(0, len(bad), BLOCK):
-        found.append(_distinct(common.Words(*_texts([rows[i] for i in bad[a : a + BLOCK]])))[0])
-    table, docs = np.unique(np.concatenate(found), return_counts=True)
-    table = table[docs >= max(MIN_DOCS, len(bad) * MIN_SHARE)]
+def _shares(table, texts: list[str], toxic, weight) -> np.ndarray:
+    """Documents with each feature of the table, by class."""
+    feature, doc = _distinct(common.Words(*_texts(texts)))
+    at = _lookup(feature, table)
+    doc, at = doc[at >= 0], at[at >= 0]
     share = np.zeros((2, len(table)))
-    for block in blocks:
-        feature, doc = _distinct(common.Words(*_texts(rows[block])))
-        at = _lookup(feature, table)
-        doc, at = doc[at >= 0], at[at >= 0]
-        np.add.at(share, (toxic[block][doc].astype(int), at), weight[block][doc])
-    table = table[share[1] >= PURITY * share.sum(0)]
-    if not len(table):
-        return _constant(float((toxic * weight).sum() / weight.sum()))
-    # token labels, then the token potential as a logistic model over table entries
-    seen = np.zeros((2, len(table)))
-    pairs, plain, count = np.zeros((2, 2)), 0.0, np.zeros(2)
-    for block in blocks:
-        w = common.Words(*_texts(rows[block]))
-        hit = _lookup(_token_features(w), table)
-        mark = ((hit >= 0).any(0) & (toxic[block][w.doc] > 0)).astype(int)
-        own = weight[block][w.doc]
-        for row in hit:
-            ok = row >= 0
-            np.add.at(seen, (mark[ok], row[ok]), own[ok])
-        same = w.doc[1:] == w.doc[:-1]
-        np.add.at(pairs, (mark[:-1][same], mark[1:][same]), own[1:][same])
-        np.add.at(count, mark, own)
-        plain += own[(hit < 0).all(0)].sum()
+    np.add.at(share, (toxic[doc].astype(int), at), weight[doc])
+    return share
+
+
+def _tokens(table, texts: list[str], toxic, weight) -> np.ndarray:
+    """Tokens per feature and label, pairs of labels and tokens without a feature, as one row."""
+    w = common.Words(*_texts(texts))
+    hit = _lookup(_token_features(w), table)
+    mark = ((hit >= 0).any(0) & (toxic[w.doc] > 0)).astype(int)
+    own = weight[w.doc]
+    seen, pairs = np.zeros((2, len(table))), np.zeros((2, 2))
+    for row in hit:
+        ok = row >= 0
+        np.add.at(seen, (mark[ok], row[ok]), own[ok])
+    same = w.doc[1:] == w.doc[:-1]
+    np.add.at(pairs, (mark[:-1][same], mark[1:][same]), own[1:][same])
+    return np.concatenate([seen.ravel(), pairs.ravel(), [own[(hit < 0).all(0)].sum()]])
+
+
+def _potentials(table, tokens: np.ndarray) -> Field:
+    """Token potentials as a logistic model over table entries, and transitions."""
+    seen, pairs, plain = tokens[: 2 * len(table)].reshape(2, -1), tokens[-5:-1].reshape(2, 2), tokens[-1]
     bias = float(np.log(0.5 / (plain + 0.5)))
     odds = np.log((seen[1] + 0.1) / (seen[0] + 0.1)) - bias
     weights = np.clip(odds, 0, 4 - bias)
     chance = np.outer(pairs.sum(1), pairs.sum(0)) / max(pairs.sum(), 1)
     transition = np.clip((pairs + 0.5) / (chance + 0.5), 0.05, 20)
-    field = Field(table, weights, bias, transition, np.zeros(4))
-    x = np.concatenate(
-        [_document_features(*_tag(field, *_texts(rows[x])), len(rows[x])) for x in blocks]
-    )
-    field.document = _logistic(x, toxic, weight / weight.mean())
+    return Field(table, weights, bias, transition, np.zeros(4))
+
+
+def _seen_in(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of some texts and in how many of them each occurs."""
+    return np.unique(_distinct(common.Words(*_texts(texts)))[0], return_counts=True)
+
+
+def _blocks(batches):
+    """(texts, labels, weights) of at most BLOCK rows and, but for one longer text, BLOCK_BYTES."""
+    for batch in batches:
+        texts, toxic = batch.column("text").to_pylist(), batch.column("toxic").to_numpy().astype(float)
+        a = size = 0
+        for b, text in enumerate(texts, 1):
+            size += len(text)
+            if b - a == BLOCK or size > BLOCK_BYTES or b == len(texts):
+                yield texts[a:b], toxic[a:b], np.ones(b - a)
+                a, size = b, 0
+
+
+def _summed(rows: DataFrame, work, least: float = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(names, sums) of what work(block) gives as names and values, if the sum is at least least."""
+
+    def run(batches):
+        for block in _blocks(batches):
+            name, value = work(*block)
+            some = value != 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name[some].astype(np.uint64).view(np.int64)), pa.array(value[some].astype(float))],
+                ["name", "value"],
+            )
+
+    total = rows.mapInArrow(run, "name long, value double").groupBy("name").agg(F.sum("value").alias("value"))
+    found = total.filter(F.col("value") >= least).toArrow()
+    name = found.column("name").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(name)
+    return name[order], found.column("value").to_numpy()[order]
+
+
+def _dense(rows: DataFrame, size: int, work) -> np.ndarray:
+    """The sum of the rows of numbers that work(block) gives."""
+    at, value = _summed(rows, lambda *block: (np.arange(size), work(*block).ravel()))
+    out = np.zeros(size)
+    out[at.astype(np.int64)] = value
+    return out
+
+
+def _field(table: np.ndarray, dense) -> Field | None:
+    """Table and potentials from the features of toxic rows; dense(size, work) sums work(block)."""
+    share = dense(2 * len(table), lambda *block: _shares(table, *block)).reshape(2, -1)
+    table = table[share[1] >= PURITY * share.sum(0)]
+    if not len(table):
+        return None
+    return _potentials(table, dense(2 * len(table) + 5, lambda *block: _tokens(table, *block)))
+
+
+def fit(rows: list[str], toxic: np.ndarray, weight: np.ndarray) -> Field:
+    """A field from texts with labels 0 and 1 and the number of rows each stands for."""
+    if not len(rows) or toxic.min() == toxic.max():
+        return _constant(float(toxic.mean()) if len(rows) else 0.0)
+    cuts = [slice(a, a + BLOCK) for a in range(0, len(rows), BLOCK)]
+    blocks = [(rows[x], toxic[x], weight[x]) for x in cuts]
+    found = [_distinct(common.Words(*_texts([t for t, y in zip(a, b, strict=True) if y])))[0] for a, b, _ in blocks if b.any()]
+    table, docs = np.unique(np.concatenate(found), return_counts=True)
+    table = table[docs >= max(MIN_DOCS, toxic.sum() * MIN_SHARE)]
+    field = _field(table, lambda size, work: sum(work(*x).ravel() for x in blocks))
+    if field is None:
+        return _constant(float((toxic * weight).sum() / weight.sum()))
+    x = np.concatenate([_document_features(*_tag(field, *_texts(a)), len(a)) for a, _, _ in blocks])
+    own = weight / weight.mean()
+    field.document = _newton(lambda ws: [_parts(x, toxic, own, w) for w in ws], 4)
+    return field
+
+
+def fit_table(rows: DataFrame) -> Field:
+    """The field of a table of texts with labels 0 and 1, (text, toxic), each row counting once.
+
+    Every step is a sum over all rows that Spark makes; the driver gets features that a share
+    MIN_SHARE of the toxic rows has, and sums.
+    """
+    n, bad = rows.agg(F.count("*"), F.sum("toxic")).first()
+    if not n or bad in (0, n):
+        return _constant(bad / n if n else 0.0)
+    least = max(MIN_DOCS, bad * MIN_SHARE)
+    table, _ = _summed(rows.filter("toxic = 1"), lambda texts, *_: _seen_in(texts), least)
+    field = _field(table, lambda size, work: _dense(rows, size, work))
+    if field is None:
+        return _constant(bad / n)
+
+    def described(batches):
+        for texts, toxic, _ in _blocks(batches):
+            x = _document_features(*_tag(field, *_texts(texts)), len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.ascontiguousarray(c)) for c in x.T), pa.array(toxic)], [*names, "toxic"]
+            )
+
+    names = [f"x{k}" for k in range(4)]
+    points = common.store(
+        rows.mapInArrow(described, ", ".join(f"{c} double" for c in [*names, "toxic"])), "points"
+    ).coalesce(-(-n // POINTS))
+
+    def sums(ws):
+        def run(batches):
+            total = np.zeros((len(ws), 21))
+            for batch in batches:
+                x = np.stack([batch.column(c).to_numpy() for c in names], 1)
+                y = batch.column("toxic").to_numpy()
+                total += [_parts(x, y, np.ones(len(y)), w) for w in ws]
+            at = np.arange(total.size)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel())], ["at", "value"])
+
+        found = points.mapInArrow(run, "at long, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        out = np.zeros(len(ws) * 21)
+        for row in found.collect():
+            out[row["at"]] = row["value"]
+        return out.reshape(len(ws), 21)
+
+    # rounded, so that the order in which numbers are added does not show
+    field.document = np.round(_newton(sums, 4), 9)
     return field
 
 
@@ -231,8 +347,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """Fit on at most `sample` labelled rows of each class outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame) -> Field:
+    """Fit on every labelled row outside the held-out fold, each text whole."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int"))
         .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
@@ -240,25 +356,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    chosen, rows = [], []
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    for toxic, n in sorted(totals.items()):
-        some = known.filter(F.col("toxic") == toxic).withColumn("hash", F.xxhash64("doc_id"))
-        ids = [r["doc_id"] for r in common.lowest(some, "hash", sample).select("doc_id").collect()]
-        chosen += [(i, toxic, n / len(ids)) for i in ids]
-    if chosen:
-        of = {i: (toxic, share) for i, toxic, share in chosen}
-        picked = docs.sparkSession.createDataFrame([(i,) for i in of], "doc_id long")
-        short = common.texts(docs).filter(F.octet_length("text") < TRAIN_BYTES)
-        found = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-        rows = sorted(
-            (r["doc_id"], r["text"]) for r in found.toLocalIterator()
-        )
-    return fit(
-        [text for _, text in rows],
-        np.array([of[i][0] for i, _ in rows], float),
-        np.array([of[i][1] for i, _ in rows], float),
+    rows = (
+        common.texts(docs).join(known, "doc_id")
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+        .select("text", "toxic")
     )
+    return fit_table(common.store(rows, "labelled"))
 
 
 def _score(field: Field, column: pa.Array, spans: bool):

@@ -16,7 +16,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from forecourt.llm import common, queries, suffix_sort, toxic_crf
+from forecourt.llm import common, queries, skip_crf, suffix_sort, toxic_crf
 from tests.llm.test_llm import plain_spans
 
 KINDS = ("email", "ip", "card", "phone")
@@ -208,3 +208,29 @@ def test_long_gaps_are_exact():
     for t, got in zip((0, 1, 5, 300, 1000), common.matrix_powers(step, np.array([0, 1, 5, 300, 1000])), strict=True):
         want = np.linalg.matrix_power(step, t)
         assert np.allclose(got, want / want.max())
+
+
+def test_toxicity_is_learned_from_every_labelled_row(spark):
+    texts = {i: f"plain talk {i % 50} and more" + (" vilething" if i % 2 else "") for i in range(7000)}
+    texts[7001] = "other words " * 9000 + "vilething"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    own = docs.filter(~toxic_crf.held_out(docs.doc_id)).join(labels, "doc_id").collect()
+    assert sum(r.toxic for r in own) > 2000 and any(len(r.text) > 100_000 for r in own)
+    toxic = np.array([float(r.toxic) for r in own])
+    whole = toxic_crf.fit([r.text for r in own], toxic, np.ones(len(own)))
+    field = toxic_crf.train(docs, labels)
+    assert np.array_equal(field.features, whole.features)
+    assert np.allclose(field.weights, whole.weights) and field.bias == pytest.approx(whole.bias)
+    assert np.allclose(field.transition, whole.transition)
+    assert np.allclose(field.document, whole.document, atol=1e-3)
+
+
+def test_personal_data_is_learned_from_every_text(spark):
+    texts = [f"call +1 (523) 555-{i:04d} or x{i}@y.com in {i} days" for i in range(1900)]
+    texts += ["no mark here", None, "7 " * 60_000 + "mail a@b.cd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    field, whole = skip_crf.train(docs), skip_crf.fit([x for x in texts if x])
+    for name in ("weights", "transition", "skip"):
+        assert np.allclose(getattr(field, name), getattr(whole, name))
+    assert np.allclose(skip_crf.train(docs.limit(0)).weights, 0)
